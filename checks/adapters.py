@@ -1,14 +1,22 @@
-"""The input tables of the engine, derived by Spark from the driver's tables (see FIXTURES.md)."""
+"""The input tables of the engine, derived by Spark from the driver's tables (see FIXTURES.md).
+
+The engine expects its inputs as stored tables. So each derived table is landed once per session as Parquet in the
+shared folder, the feed partitioned by message type, and every query reads it from there, with pruning. A driver table
+that changes is landed again.
+"""
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peernet.config import GENESIS_HASH, HASH_TYPES, RunConfig
+from peernet.config import GENESIS_HASH, HASH_TYPES, RunConfig, shared_dir
 from peernet.schemas import SCHEMAS
+from peernet.sources.loaders import load
+from peernet.sources.tables import modified
 
 CFG = RunConfig(
     run_started_at="2024-01-31 00:00:00", as_of="2024-01-31 00:00:00", initial_bound="2024-01-01 00:00:00"
@@ -41,8 +49,8 @@ def _plus_ms(ts: Column, ms: int) -> Column:
     return ts + F.expr(f"interval {ms} milliseconds")
 
 
-class Inputs:
-    """Lazy input frames over one folder of driver tables."""
+class Derived:
+    """The input tables as lazy frames over one folder of driver tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -64,7 +72,7 @@ class Inputs:
         return F.concat(F.lit("10."), F.col("user_id") % 30, F.lit(".0."), F.col("k"))
 
     @cached_property
-    def feed(self) -> DataFrame:
+    def network_feed(self) -> DataFrame:
         k, event_id, ts = F.col("k"), F.col("event_id"), F.col("ts")
         block = event_id % 100
         text = F.lit
@@ -126,7 +134,7 @@ class Inputs:
         return reduce(DataFrame.unionByName, parts)
 
     @cached_property
-    def transactions(self) -> DataFrame:
+    def eth_transaction(self) -> DataFrame:
         key = F.col("o_orderkey")
         minutes = (key % 500) * 80
         orders = self.spark.read.parquet(f"{self.sf_dir}/orders.parquet")
@@ -156,7 +164,7 @@ class Inputs:
         return self.events.where((F.col("event_type") == "purchase") & (F.col("event_id") % 2 == remainder))
 
     @cached_property
-    def ethernodes(self) -> DataFrame:
+    def ethernodes_tracker(self) -> DataFrame:
         c = self.client
         return self._sightings(0).select(
             _public_key(F.col("user_id").cast("string")).alias("node_id"),
@@ -173,7 +181,7 @@ class Inputs:
         )
 
     @cached_property
-    def etherscan(self) -> DataFrame:
+    def node_tracker(self) -> DataFrame:
         c = self.client
         return self._sightings(1).select(
             _public_key(F.col("user_id").cast("string")).alias("node_id"),
@@ -213,15 +221,11 @@ class Inputs:
         )
 
     @cached_property
-    def country_code(self) -> DataFrame:
-        return self.spark.createDataFrame(COUNTRIES, SCHEMAS["country_code"])
-
-    @cached_property
-    def ledger(self) -> DataFrame:
+    def run_ledger(self) -> DataFrame:
         """A past run per 100 blocks; of every seven, the last did not complete. The last run is never complete."""
         run = F.floor(F.col("blk_number") / 100)
         return (
-            self.transactions.groupBy(run.alias("r"))
+            self.eth_transaction.groupBy(run.alias("r"))
             .agg(F.min("blk_number").alias("lo"), F.max("blk_number").alias("hi"))
             .select(
                 (
@@ -234,3 +238,57 @@ class Inputs:
                 F.col("hi").alias("run_stop_blk_number"),
             )
         )
+
+
+# What each landed table is derived from.
+_ORIGIN = {"eth_transaction": "orders", "run_ledger": "orders"}
+_LANDED: dict[tuple[str, str, str, str], str] = {}
+
+
+class Inputs:
+    """The landed input tables of one folder of driver tables."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.derived = Derived(spark, sf_dir)
+
+    def landed(self, name: str, partition_by: list[str] | None = None) -> DataFrame:
+        origin = f"{self.sf_dir}/{_ORIGIN.get(name, 'events')}.parquet"
+        key = (self.spark.sparkContext.applicationId, name, origin, modified(self.spark, origin))
+        if key not in _LANDED:
+            root = f"{shared_dir(self.spark)}/inputs-{uuid.uuid4().hex}"
+            getattr(self.derived, name).write.partitionBy(*(partition_by or [])).parquet(f"{root}/{name}")
+            _LANDED[key] = root
+        return load(self.spark, _LANDED[key], name)
+
+    @cached_property
+    def feed(self) -> DataFrame:
+        return self.landed("network_feed", ["msg_type"])
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return self.landed("eth_transaction")
+
+    @cached_property
+    def block_header(self) -> DataFrame:
+        return self.landed("block_header")
+
+    @cached_property
+    def ethernodes(self) -> DataFrame:
+        return self.landed("ethernodes_tracker")
+
+    @cached_property
+    def etherscan(self) -> DataFrame:
+        return self.landed("node_tracker")
+
+    @cached_property
+    def geo_blocks(self) -> DataFrame:
+        return self.landed("geo_blocks")
+
+    @cached_property
+    def ledger(self) -> DataFrame:
+        return self.landed("run_ledger")
+
+    @cached_property
+    def country_code(self) -> DataFrame:
+        return self.spark.createDataFrame(COUNTRIES, SCHEMAS["country_code"])

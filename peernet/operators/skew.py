@@ -45,22 +45,18 @@ def salted_join(
         raise ValueError("only inner and left keep every row once")
     bounded = F.broadcast(hot)
     where_from = F.xxhash64(F.spark_partition_id(), *(spread or big.columns))
-    left = (
-        big.withColumn("_key_print", F.xxhash64(*keys))
-        .join(bounded, "_key_print", "left")
-        .withColumn("_salt", F.coalesce(F.pmod(where_from, F.col("_salts")).cast("int"), F.lit(0)))
-        .drop("_key_print", "_salts")
+    renamed = {k: f"_r_{k}" for k in keys}
+    left = big.join(bounded, F.xxhash64(*keys) == F.col("_key_print"), "left").select(
+        *big.columns, F.coalesce(F.pmod(where_from, F.col("_salts")).cast("int"), F.lit(0)).alias("_salt")
     )
-    renamed = small.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in small.columns])
-    right = (
-        renamed.withColumn("_key_print", F.xxhash64(*[f"_r_{k}" for k in keys]))
-        .join(bounded, "_key_print", "left")
-        .withColumn("_r_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
-        .drop("_key_print", "_salts")
+    pieces = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    right = small.join(bounded, F.xxhash64(*keys) == F.col("_key_print"), "left").select(
+        *[F.col(c).alias(renamed.get(c, c)) for c in small.columns], F.explode(pieces).alias("_r_salt")
     )
     condition = F.col("_salt") == F.col("_r_salt")
     for k in keys:
-        condition = condition & (F.col(k) == F.col(f"_r_{k}"))
+        condition = condition & (F.col(k) == F.col(renamed[k]))
     if residual is not None:
         condition = condition & residual
-    return left.join(right, condition, how).drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])
+    kept = [c for c in small.columns if c not in keys]
+    return left.join(right, condition, how).select(*big.columns, *kept)

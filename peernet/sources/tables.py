@@ -19,6 +19,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def modified(spark: SparkSession, path: str) -> str:
+    """Size and time of a file or folder, to notice that it changed."""
+    fs, p = _hadoop_path(spark, path)
+    status = fs.getFileStatus(p)
+    return f"{status.getLen()}@{status.getModificationTime()}"
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _hadoop_path(spark, path)
     fs.delete(p, True)
