@@ -48,6 +48,8 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus)
+        # Call-site capture costs a round trip per column expression and only serves error messages.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")

@@ -89,6 +89,16 @@ class Models(Inputs):
             self.feed, self.block_header, self.geo_blocks, self.country_code, self.peers, CFG, SINCE
         )
 
+    @cached_property
+    def built_sessions(self) -> DataFrame:
+        """The session fact as the stored table that the models after it read."""
+        return self.tables().replace(self.fact_sessions, "fact_peer_session")
+
+    @cached_property
+    def built_hourly(self) -> DataFrame:
+        window = hourly_window(None, self.built_sessions, self.staged, CFG)
+        return hourly_performance(self.feed, self.built_sessions, self.staged, *window, CFG)
+
     @cached_property
     def bounds(self) -> tuple[str | None, str | None]:
         return hourly_window(None, self.sessions, self.staged, CFG)
@@ -109,11 +119,11 @@ class Models(Inputs):
 
     @cached_property
     def undersampled(self) -> DataFrame:
-        return undersampled_peers(self.hourly, self.fact_sessions, CFG)
+        return undersampled_peers(self.built_hourly, self.built_sessions, CFG)
 
     @cached_property
     def performance(self) -> DataFrame:
-        return peer_performance(self.hourly, self.fact_sessions, self.mempool, self.staged, CFG)
+        return peer_performance(self.built_hourly, self.built_sessions, self.mempool, self.staged, CFG)
 
     def tables(self) -> Tables:
         return Tables(self.spark, f"{shared_dir(self.spark)}/peernet-{uuid.uuid4().hex}")
@@ -146,7 +156,7 @@ def _seed_country(m: Models) -> DataFrame:
     folder = f"{shared_dir(m.spark)}/peernet-{uuid.uuid4().hex}/country_code"
     m.country_code.write.csv(folder, header=True)
     seen = tracker_addresses(m.feed, SINCE)
-    sightings = geoip_enrich(seen, "peer_ip", m.geo_blocks, CFG, seen).groupBy("peer_country_code").count()
+    sightings = geoip_enrich(seen, "peer_ip", m.geo_blocks, CFG, seen, []).groupBy("peer_country_code").count()
     return (
         load_country_codes(m.spark, folder)
         .join(sightings, F.col("country_code") == F.col("peer_country_code"), "left")
@@ -292,7 +302,7 @@ def _first_seen_upsert(m: Models) -> DataFrame:
 def _geoip_enrich(m: Models) -> DataFrame:
     seen = tracker_addresses(m.feed, SINCE)
     rows = tracker_messages(m.feed, SINCE).select("node_id", "peer_id", "msg_timestamp", "peer_ip")
-    return geoip_enrich(rows, "peer_ip", m.geo_blocks, CFG, seen)
+    return geoip_enrich(rows, "peer_ip", m.geo_blocks, CFG, seen, ["peer_id", "msg_timestamp"])
 
 
 def _explode_hashes(m: Models) -> DataFrame:
@@ -551,7 +561,7 @@ CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "sessionize": lambda m: m.sessions,
     "sessionize_incremental": _sessionize_incremental,
     "union_pad": _union_pad,
-    "undersampled_counts": lambda m: hash_counts(m.hourly, m.fact_sessions, CFG),
+    "undersampled_counts": lambda m: hash_counts(m.built_hourly, m.built_sessions, CFG),
     # functions
     "hex_codec": _hex_codec,
     "enode_concat": _enode,

@@ -54,6 +54,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # Sessions grow when cut into hours, so small partitions of them are worth a task of their own.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
     return spark
 
 

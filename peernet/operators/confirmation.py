@@ -34,6 +34,6 @@ def preconfirmation_join(announced: DataFrame, transactions: DataFrame, how: str
         ["tx_hash"],
         how,
         hot_keys(announced, ["tx_hash"], cfg),
+        ["msg_timestamp"],
         residual=F.col("msg_timestamp") < F.col("blk_timestamp"),
-        spread=["msg_timestamp"],
     )

@@ -49,7 +49,9 @@ def locate(addresses: DataFrame, ip: str, blocks: DataFrame) -> DataFrame:
     return found.groupBy(ip).agg(F.min_by(place, narrowest).alias("place")).select(ip, "place.*")
 
 
-def geoip_enrich(rows: DataFrame, ip: str, blocks: DataFrame, cfg: RunConfig, seen: DataFrame) -> DataFrame:
+def geoip_enrich(
+    rows: DataFrame, ip: str, blocks: DataFrame, cfg: RunConfig, seen: DataFrame, spread: list[str]
+) -> DataFrame:
     """Add peer_country_code, peer_city and peer_subdivision, NULL where no block covers the address.
 
     `seen` is a cheap frame holding the `ip` column (the feed's own), used to find the distinct and the hot addresses
@@ -61,4 +63,4 @@ def geoip_enrich(rows: DataFrame, ip: str, blocks: DataFrame, cfg: RunConfig, se
         F.col("city").alias("peer_city"),
         F.col("subdivision").alias("peer_subdivision"),
     )
-    return salted_join(rows, places, [ip], "left", hot_keys(seen, [ip], cfg))
+    return salted_join(rows, places, [ip], "left", hot_keys(seen, [ip], cfg), spread)

@@ -92,7 +92,7 @@ def points_in_intervals(
 
 def _match(points: DataFrame, spans: DataFrame, keys: list[str], inside: Column, hot: DataFrame | None) -> DataFrame:
     if hot is not None:
-        return salted_join(points, spans, keys, "inner", hot, inside, spread=["msg_timestamp"])
+        return salted_join(points, spans, keys, "inner", hot, ["msg_timestamp"], inside)
     renamed = spans.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in spans.columns])
     for k in keys:
         inside = inside & (F.col(k) == F.col(f"_r_{k}"))

@@ -52,27 +52,22 @@ def lag_chunked(df: DataFrame, key: str, ts: str, value: str, ties: list[str], c
     """Add `previous`: the value of the row before, per key in time order.
 
     One window over a whole key would put a busy key into one task. So the window runs per (key, chunk of time), and
-    only the first row of a chunk looks at the last value of the chunk before, which comes from a small summary.
+    the last value of the chunk before enters each chunk as one more row at its start, from a small summary.
     """
     order = [F.col(ts).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in ties]]
-    in_chunk = Window.partitionBy(key, "_chunk").orderBy(*order)
-    rows = df.withColumn("_chunk", time_bucket(chunk, F.col(ts)))
-    local = rows.withColumns(
-        {"_local": F.lag(value).over(in_chunk), "_is_first": F.row_number().over(in_chunk) == 1}
-    )
+    rows = df.withColumns({"_chunk": time_bucket(chunk, F.col(ts)), "_carried": F.lit(False)})
     position = F.struct(ts, *ties)
     last_of_chunk = rows.groupBy(key, "_chunk").agg(F.max(F.struct(position.alias("p"), F.col(value))).alias("_last"))
     across = Window.partitionBy(key).orderBy(F.col("_chunk").asc_nulls_first())
     carried = last_of_chunk.select(
-        F.col(key).alias("_key"),
-        F.col("_chunk").alias("_key_chunk"),
-        F.lag(F.col("_last")[value]).over(across).alias("_carried"),
+        key, "_chunk", F.lag(F.col("_last")[value]).over(across).alias(value), F.lit(True).alias("_carried")
     )
-    same_chunk = F.col(key).eqNullSafe(F.col("_key")) & F.col("_chunk").eqNullSafe(F.col("_key_chunk"))
+    in_chunk = Window.partitionBy(key, "_chunk").orderBy(F.desc("_carried"), *order)
     return (
-        local.join(carried, same_chunk, "inner")
-        .withColumn("previous", F.when(F.col("_is_first"), F.col("_carried")).otherwise(F.col("_local")))
-        .drop("_chunk", "_local", "_is_first", "_key", "_key_chunk", "_carried")
+        rows.unionByName(carried, allowMissingColumns=True)
+        .withColumn("previous", F.lag(value).over(in_chunk))
+        .where(~F.col("_carried"))
+        .drop("_chunk", "_carried")
     )
 
 

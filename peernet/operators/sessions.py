@@ -42,23 +42,11 @@ def peer_set_events(
 def close_sessions(events: DataFrame, chunk: str) -> DataFrame:
     """Every add with the next close time and the next reported duration after it (two independent look-aheads).
 
-    Equal times are ordered by type, then duration. The look-ahead runs per (node, peer, chunk of time); what a chunk
-    does not answer comes from the nearest later chunk, through a summary with one row per chunk. So the history of
-    one pair is never one task's work.
+    Equal times are ordered by type, then duration. The look-ahead runs per (node, peer, chunk of time), so the
+    history of one pair is never one task's work: what later chunks hold enters each chunk as one more row at its end,
+    which comes from a summary with one row per chunk.
     """
     rows = events.withColumn("_chunk", time_bucket(chunk, F.col("msg_timestamp")))
-    backwards = (
-        Window.partitionBy(*PAIR, "_chunk")
-        .orderBy(F.desc("msg_timestamp"), F.desc("msg_type"), F.col("reported").desc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    local = rows.withColumns(
-        {
-            "_end": F.last("closed_at", ignorenulls=True).over(backwards),
-            "_reported": F.last("reported", ignorenulls=True).over(backwards),
-        }
-    ).where(F.col("msg_type") == PEER_ADD)
-
     position = F.struct("msg_timestamp", "msg_type", "reported")
     summary = rows.groupBy(*PAIR, "_chunk").agg(
         F.min("closed_at").alias("first_close"),
@@ -66,20 +54,31 @@ def close_sessions(events: DataFrame, chunk: str) -> DataFrame:
     )
     later = Window.partitionBy(*PAIR).orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(
-        *[F.col(c).alias(f"_k_{c}") for c in (*PAIR, "_chunk")],
-        F.last("first_close", ignorenulls=True).over(later).alias("_later_end"),
-        F.last("first_reported.reported", ignorenulls=True).over(later).alias("_later_reported"),
+        *PAIR,
+        "_chunk",
+        F.last("first_close", ignorenulls=True).over(later).alias("closed_at"),
+        F.last("first_reported.reported", ignorenulls=True).over(later).alias("reported"),
+        F.lit(True).alias("_carried"),
     )
-    same = (
-        F.col("node_id").eqNullSafe(F.col("_k_node_id"))
-        & F.col("peer_id").eqNullSafe(F.col("_k_peer_id"))
-        & (F.col("_chunk") == F.col("_k__chunk"))
+    backwards = (
+        Window.partitionBy(*PAIR, "_chunk")
+        .orderBy(
+            F.desc("_carried"), F.desc("msg_timestamp"), F.desc("msg_type"), F.col("reported").desc_nulls_last()
+        )
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return local.join(carried, same, "inner").select(
-        *PAIR,
-        F.col("msg_timestamp").alias("start_time"),
-        F.coalesce("_end", "_later_end").alias("end_time"),
-        F.coalesce("_reported", "_later_reported").cast("bigint").alias("session_duration"),
+    return (
+        rows.withColumn("_carried", F.lit(False))
+        .unionByName(carried, allowMissingColumns=True)
+        .select(
+            *PAIR,
+            "msg_type",
+            F.col("msg_timestamp").alias("start_time"),
+            F.last("closed_at", ignorenulls=True).over(backwards).alias("end_time"),
+            F.last("reported", ignorenulls=True).over(backwards).cast("bigint").alias("session_duration"),
+        )
+        .where(F.col("msg_type") == PEER_ADD)
+        .drop("msg_type")
     )
 
 

@@ -32,31 +32,35 @@ def salted_join(
     keys: list[str],
     how: str,
     hot: DataFrame,
+    spread: list[str],
     residual: Column | None = None,
-    spread: list[str] | None = None,
 ) -> DataFrame:
     """Join on `keys`, with hot keys of `big` cut into pieces and the matching rows of `small` repeated per piece.
 
-    `how` is inner, or left with `big` preserved. The piece is a function of the row and of its input partition, both
-    of which a recomputed task reproduces, so losing an executor cannot move a row between pieces; and copies of one
-    row spread too, since they lie in different partitions. `residual` may name columns of both sides.
+    `how` is inner, or left with `big` preserved. The piece is a function of the `spread` columns and of the input
+    partition, both of which a recomputed task reproduces, so losing an executor cannot move a row between pieces; and
+    copies of one row spread too, since they lie in different partitions. `residual` may name columns of both sides.
     """
     if how not in ("inner", "left"):
         raise ValueError("only inner and left keep every row once")
     bounded = F.broadcast(hot)
-    where_from = F.xxhash64(F.spark_partition_id(), *(spread or big.columns))
-    renamed = {k: f"_r_{k}" for k in keys}
-    left = big.join(bounded, F.xxhash64(*keys) == F.col("_key_print"), "left").select(
-        *big.columns, F.coalesce(F.pmod(where_from, F.col("_salts")).cast("int"), F.lit(0)).alias("_salt")
+    key_print = F.xxhash64(*keys)
+    piece = F.pmod(F.xxhash64(F.spark_partition_id(), *spread), F.col("_salts")).cast("int")
+    left = (
+        big.join(bounded, key_print == F.col("_key_print"), "left")
+        .withColumn("_salt", F.coalesce(piece, F.lit(0)))
+        .drop("_key_print", "_salts")
     )
     pieces = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
-    right = small.join(bounded, F.xxhash64(*keys) == F.col("_key_print"), "left").select(
-        *[F.col(c).alias(renamed.get(c, c)) for c in small.columns], F.explode(pieces).alias("_r_salt")
+    right = (
+        small.join(bounded, key_print == F.col("_key_print"), "left")
+        .withColumn("_r_salt", F.explode(pieces))
+        .withColumnsRenamed({k: f"_r_{k}" for k in keys})
+        .drop("_key_print", "_salts")
     )
     condition = F.col("_salt") == F.col("_r_salt")
     for k in keys:
-        condition = condition & (F.col(k) == F.col(renamed[k]))
+        condition = condition & (F.col(k) == F.col(f"_r_{k}"))
     if residual is not None:
         condition = condition & residual
-    kept = [c for c in small.columns if c not in keys]
-    return left.join(right, condition, how).select(*big.columns, *kept)
+    return left.join(right, condition, how).drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])

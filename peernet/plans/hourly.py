@@ -50,7 +50,7 @@ def hourly_performance(
     """One row per session and hour of [lo, hi), also for hours without any announcement.
 
     Announcements meet the block times (shuffle by hash) and then the slices (shuffle by node, peer and hour); both
-    joins cut hot keys. Empty slices enter the aggregation as rows without a message, in place of an outer join.
+    joins cut hot keys. Slices without an announcement come back in at the end, when only counts are left.
     """
     lower, upper = ntz(lo), ntz(hi)
     messages = hash_messages(feed).where(F.col("msg_timestamp").between(lower, upper))
@@ -66,18 +66,20 @@ def hourly_performance(
     )
     slices = hour_slices(sessions, lo, hi)
     hot = hot_keys(hourly_keys(messages), ["peer_id", "node_id", "session_hour"], cfg)
-    matched = points_in_hour_slices(marked, slices, hot).select(*SLICE, "confirmed_hash", "messages")
-    empty = slices.select(
-        *SLICE, F.lit(None).cast("binary").alias("confirmed_hash"), F.lit(0).cast("bigint").alias("messages")
-    )
     counted = (
-        matched.unionByName(empty)
+        points_in_hour_slices(marked, slices, hot)
         .groupBy(*SLICE)
         .agg(
             F.sum("messages").alias("total_hash_count"),
             F.count_distinct("confirmed_hash").alias("confirmed_distinct_tx_count"),
         )
     )
+    # Both sides are grouped by the same columns, so this join moves nothing again.
+    known = slices.select(*SLICE).distinct().join(counted, SLICE, "left")
+    zero = F.lit(0).cast("bigint")
+    counted = known.withColumns(
+        {c: F.coalesce(c, zero) for c in ("total_hash_count", "confirmed_distinct_tx_count")}
+    )
     hour, minutes = F.col("session_hour"), F.col("session_hour_minutes")
     whole = counted.withColumns(
         {

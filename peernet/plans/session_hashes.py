@@ -39,8 +39,8 @@ def session_unique_hash(feed: DataFrame, sessions: DataFrame, transactions: Data
     """One row per session of the window. Metrics are NULL for sessions that are open or lie outside the minutes in
     which anything was announced; requests outside those minutes do not count.
 
-    Announcements and requests go through one interval join, by hour cells; sessions without a match enter the
-    aggregation as empty rows.
+    Announcements and requests go through one interval join, by hour cells; sessions without a match come back in at
+    the end, when only counts are left.
     """
     window = F.col("msg_timestamp").between(ntz(cfg.window_start), ntz(cfg.window_end))
     messages = hash_messages(feed).where(window)
@@ -50,12 +50,11 @@ def session_unique_hash(feed: DataFrame, sessions: DataFrame, transactions: Data
     announced = explode_hashes(messages, "peer_id", "node_id", "msg_timestamp").select(
         "peer_id", "node_id", "msg_timestamp", "tx_hash"
     )
-    no_sketch = F.lit(None).cast("binary").alias("sketch")
     broadcasts = preconfirmation_join(announced, transactions, "left", cfg).select(
         "peer_id", "node_id", "msg_timestamp",
         F.when(F.col("copies").isNotNull(), F.col("tx_hash")).alias("confirmed_hash"),
         F.coalesce("copies", F.lit(1)).alias("announced"),
-        F.lit(None).cast("bigint").alias("asked"), no_sketch,
+        F.lit(None).cast("bigint").alias("asked"), F.lit(None).cast("binary").alias("sketch"),
     )
     requests = request_messages(feed, cfg).where(in_minutes).select(
         "peer_id", "node_id", "msg_timestamp",
@@ -84,17 +83,10 @@ def session_unique_hash(feed: DataFrame, sessions: DataFrame, transactions: Data
     hot = hot_keys(
         hourly_keys(feed.where(window)).withColumnRenamed("session_hour", "_cell"), ["peer_id", "node_id", "_cell"], cfg
     )
-    metrics = ["confirmed_hash", "announced", "asked", "sketch"]
-    matched = points_in_intervals(
-        broadcasts.unionByName(requests), clipped, ["peer_id", "node_id"], "from_second", "to_second", "hour", hot
-    ).select(*SESSION, *metrics)
-    empty = spans.select(
-        *SESSION,
-        F.lit(None).cast("binary").alias("confirmed_hash"), F.lit(0).cast("bigint").alias("announced"),
-        F.lit(None).cast("bigint").alias("asked"), no_sketch,
-    )
     counted = (
-        matched.unionByName(empty)
+        points_in_intervals(
+            broadcasts.unionByName(requests), clipped, ["peer_id", "node_id"], "from_second", "to_second", "hour", hot
+        )
         .groupBy(*SESSION)
         .agg(
             F.sum("announced").alias("total_hash_count"),
@@ -103,6 +95,10 @@ def session_unique_hash(feed: DataFrame, sessions: DataFrame, transactions: Data
             estimate(combine(F.col("sketch"))).alias("distinct_get_hash_count"),
         )
     )
+    known = spans.select(*SESSION).distinct().join(counted, SESSION, "left")
+    zero = F.lit(0).cast("bigint")
+    metrics = ("total_hash_count", "confirmed_distinct_tx_count", "distinct_get_hash_count")
+    counted = known.withColumns({c: F.coalesce(c, zero) for c in metrics})
     minutes = F.col("session_duration_calculated") / F.lit(1e9) / F.lit(60)
     rates = counted.select(
         "peer_id", "node_id", "start_time",

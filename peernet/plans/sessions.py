@@ -62,7 +62,7 @@ def sync_gap(feed: DataFrame, block_header: DataFrame, since: str | None, cfg: R
 
     def numbered(rows: DataFrame, column: str, name: str) -> DataFrame:
         named = blocks.select(F.col("hash").alias(column), F.col("number").alias(name))
-        return salted_join(rows, named, [column], "left", hot_keys(shaken, [column], cfg))
+        return salted_join(rows, named, [column], "left", hot_keys(shaken, [column], cfg), [*PAIR, "msg_timestamp"])
 
     first = first_per_minute(shaken, PAIR, "msg_timestamp")
     both = numbered(numbered(first, "head_block_hash", "head_block"), "local_block_hash", "local_block")
@@ -135,7 +135,7 @@ def join_crawlers(sessions: DataFrame, dim_peers: DataFrame, seen: DataFrame, cf
         role = dim_peers.where(F.col("source") == source).select(
             F.col("node_id").alias("peer_id"), *[F.col(c).alias(f"{source}_{c}") for c in columns]
         )
-        sessions = salted_join(sessions, role, ["peer_id"], "left", hot)
+        sessions = salted_join(sessions, role, ["peer_id"], "left", hot, ["node_id", "start_time"])
     return sessions
 
 
@@ -158,7 +158,9 @@ def fact_peer_session(
     spans = sessionize(feed, cfg, since, open_sessions)
     told = join_same_minute(spans, tracker_messages(feed, since))
     told = join_same_minute(told, sync_gap(feed, block_header, since, cfg))
-    placed = geoip_enrich(told, "peer_ip", geo_blocks, cfg, tracker_addresses(feed, since))
+    placed = geoip_enrich(
+        told, "peer_ip", geo_blocks, cfg, tracker_addresses(feed, since), [*PAIR, "start_time"]
+    )
     placed = placed.join(country, "peer_country_code", "left")
     peers = feed.where(F.col("msg_type") == "peer_set_add").select("peer_id")
     known = join_crawlers(placed, dim_peers, peers, cfg)
