@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peernet.config import ntz
 from peernet.functions.scalars import minutes_crossed, null_greatest, null_least, time_bucket
-from peernet.operators.skew import salted_join
+from peernet.operators.skew import HotKeys, salted_join
 
 
 def hour_slices(sessions: DataFrame, lo: str | None, hi: str | None) -> DataFrame:
@@ -56,7 +56,7 @@ def hour_slices(sessions: DataFrame, lo: str | None, hi: str | None) -> DataFram
     )
 
 
-def points_in_hour_slices(points: DataFrame, slices: DataFrame, hot: DataFrame | None) -> DataFrame:
+def points_in_hour_slices(points: DataFrame, slices: DataFrame, hot: HotKeys) -> DataFrame:
     """Points of (peer_id, node_id, msg_timestamp) matched to hour slices, both slice ends included.
 
     A slice lies inside one hour, so the hour joins as an equal key. Its closed end may be the next full hour: a point
@@ -66,39 +66,34 @@ def points_in_hour_slices(points: DataFrame, slices: DataFrame, hot: DataFrame |
     hours = F.when(
         F.col("msg_timestamp") == hour, F.array(hour, hour - F.expr("interval 1 hour"))
     ).otherwise(F.array(hour))
-    return _match(
+    return salted_join(
         points.withColumn("session_hour", F.explode(hours)),
         slices,
         ["peer_id", "node_id", "session_hour"],
-        F.col("msg_timestamp").between(F.col("session_hour_start"), F.col("session_hour_end")),
+        "inner",
         hot,
+        ["msg_timestamp"],
+        F.col("msg_timestamp").between(F.col("session_hour_start"), F.col("session_hour_end")),
     )
 
 
 def points_in_intervals(
-    points: DataFrame, intervals: DataFrame, keys: list[str], start: str, end: str, cell: str, hot: DataFrame | None
+    points: DataFrame, intervals: DataFrame, keys: list[str], start: str, end: str, cell: str, hot: HotKeys
 ) -> DataFrame:
     """Points matched to intervals [start, end] of any length: intervals are listed under every time cell they touch."""
     first, last = time_bucket(cell, F.col(start)), time_bucket(cell, F.col(end))
     cells = F.when(F.col(start) <= F.col(end), F.sequence(first, last, F.expr(f"interval 1 {cell}")))
-    return _match(
+    return salted_join(
         points.withColumn("_cell", time_bucket(cell, F.col("msg_timestamp"))),
         intervals.withColumn("_cell", F.explode(cells)),
         [*keys, "_cell"],
-        F.col("msg_timestamp").between(F.col(start), F.col(end)),
+        "inner",
         hot,
+        ["msg_timestamp"],
+        F.col("msg_timestamp").between(F.col(start), F.col(end)),
     ).drop("_cell")
 
 
-def _match(points: DataFrame, spans: DataFrame, keys: list[str], inside: Column, hot: DataFrame | None) -> DataFrame:
-    if hot is not None:
-        return salted_join(points, spans, keys, "inner", hot, ["msg_timestamp"], inside)
-    renamed = spans.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in spans.columns])
-    for k in keys:
-        inside = inside & (F.col(k) == F.col(f"_r_{k}"))
-    return points.join(renamed, inside, "inner").drop(*[f"_r_{k}" for k in keys])
-
-
 def hourly_keys(messages: DataFrame) -> DataFrame:
     """The join key of a message, for finding hot (peer, node, hour) groups without touching the payload."""
     return messages.select("peer_id", "node_id", time_bucket("hour", F.col("msg_timestamp")).alias("session_hour"))

@@ -1,9 +1,10 @@
 """Joins whose big side may have a key holding a large share of all rows.
 
-`hot_keys` finds such keys with a mergeable frequent-items sketch: one small state per task, no shuffle of the data,
-and by counting at most `limit` keys can each hold more than 1/limit of the rows, so the result is small enough to
-broadcast whatever the input size. A missed or surplus key only changes speed: `salted_join` is exact for any set of
-hot keys. Frames joined without a hot set rely on adaptive skew-join splitting.
+`hot_keys` finds such keys with a mergeable frequent-items sketch over a sample: one small state per task, no shuffle
+of the data. By counting, at most `hot_limit` keys can each hold more than 1/hot_limit of the rows, so the answer is
+small whatever the input size. It is read once, before the join is planned: both sides then cut a key into the same
+number of pieces, and a join without hot keys stays a plain one. A missed or surplus key only changes speed:
+`salted_join` keeps every row for any set of hot keys, and adaptive skew-join splitting takes what was missed.
 """
 
 from __future__ import annotations
@@ -13,17 +14,22 @@ from pyspark.sql import functions as F
 
 from peernet.config import RunConfig
 
+HotKeys = dict[int, int]
 
-def hot_keys(rows: DataFrame, keys: list[str], cfg: RunConfig) -> DataFrame:
-    """(_key_print, _salts): fingerprints of the hot keys and the number of pieces to cut each into."""
+
+def hot_keys(rows: DataFrame, keys: list[str], cfg: RunConfig) -> HotKeys:
+    """Fingerprints of the hot keys, each with the number of pieces to cut it into."""
+    if cfg.hot_sample < 1:
+        rows = rows.sample(cfg.hot_sample, seed=1)
     top = F.call_function("approx_top_k", F.xxhash64(*keys), F.lit(cfg.hot_limit), F.lit(10 * cfg.hot_limit))
     seen = rows.agg(top.alias("top"), F.count(F.lit(1)).alias("n"))
-    piece = F.greatest(F.lit(cfg.hot_min_rows), F.col("n") / F.lit(cfg.hot_limit))
-    return (
-        seen.select(F.inline("top").alias("_key_print", "ct"), "n")
+    piece = F.greatest(F.lit(cfg.hot_min_rows * cfg.hot_sample), F.col("n") / F.lit(cfg.hot_limit))
+    hot = (
+        seen.select(F.inline("top").alias("key_print", "ct"), "n")
         .where(F.col("ct") > piece)
-        .select("_key_print", F.ceil(F.col("ct") / piece).cast("int").alias("_salts"))
+        .select("key_print", F.ceil(F.col("ct") / piece).cast("int"))
     )
+    return dict(hot.take(cfg.hot_limit))
 
 
 def salted_join(
@@ -31,7 +37,7 @@ def salted_join(
     small: DataFrame,
     keys: list[str],
     how: str,
-    hot: DataFrame,
+    hot: HotKeys,
     spread: list[str],
     residual: Column | None = None,
 ) -> DataFrame:
@@ -43,24 +49,24 @@ def salted_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("only inner and left keep every row once")
-    bounded = F.broadcast(hot)
-    key_print = F.xxhash64(*keys)
-    piece = F.pmod(F.xxhash64(F.spark_partition_id(), *spread), F.col("_salts")).cast("int")
-    left = (
-        big.join(bounded, key_print == F.col("_key_print"), "left")
-        .withColumn("_salt", F.coalesce(piece, F.lit(0)))
-        .drop("_key_print", "_salts")
-    )
-    pieces = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
-    right = (
-        small.join(bounded, key_print == F.col("_key_print"), "left")
-        .withColumn("_r_salt", F.explode(pieces))
-        .withColumnsRenamed({k: f"_r_{k}" for k in keys})
-        .drop("_key_print", "_salts")
-    )
-    condition = F.col("_salt") == F.col("_r_salt")
+    left, right = big, small
+    condition = F.lit(True) if residual is None else residual
+    if hot:
+        pieces = F.broadcast(big.sparkSession.createDataFrame(list(hot.items()), "_key_print bigint, _salts int"))
+        key_print = F.xxhash64(*keys)
+        piece = F.pmod(F.xxhash64(F.spark_partition_id(), *spread), F.col("_salts")).cast("int")
+        left = (
+            big.join(pieces, key_print == F.col("_key_print"), "left")
+            .withColumn("_salt", F.coalesce(piece, F.lit(0)))
+            .drop("_key_print", "_salts")
+        )
+        right = (
+            small.join(pieces, key_print == F.col("_key_print"), "left")
+            .withColumn("_r_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
+            .drop("_key_print", "_salts")
+        )
+        condition = condition & (F.col("_salt") == F.col("_r_salt"))
+    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     for k in keys:
         condition = condition & (F.col(k) == F.col(f"_r_{k}"))
-    if residual is not None:
-        condition = condition & residual
     return left.join(right, condition, how).drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])
