@@ -94,6 +94,11 @@ class Models(Inputs):
         """The session fact as the stored table that the models after it read."""
         return self.tables().replace(self.fact_sessions, "fact_peer_session")
 
+    @cached_property
+    def built_spans(self) -> DataFrame:
+        """Sessions without enrichment, stored, for the jobs that need no more of the fact."""
+        return self.tables().replace(self.sessions, "spans")
+
     @cached_property
     def built_hourly(self) -> DataFrame:
         window = hourly_window(None, self.built_sessions, self.staged, CFG)
@@ -101,11 +106,11 @@ class Models(Inputs):
 
     @cached_property
     def bounds(self) -> tuple[str | None, str | None]:
-        return hourly_window(None, self.sessions, self.staged, CFG)
+        return hourly_window(None, self.built_spans, self.staged, CFG)
 
     @cached_property
     def hourly(self) -> DataFrame:
-        return hourly_performance(self.feed, self.sessions, self.staged, *self.bounds, CFG)
+        return hourly_performance(self.feed, self.built_spans, self.staged, *self.bounds, CFG)
 
     @cached_property
     def mempool(self) -> DataFrame:
@@ -239,7 +244,7 @@ def _preconfirmation_join(m: Models) -> DataFrame:
 def _interval_join_hourly(m: Models) -> DataFrame:
     messages = hash_messages(m.feed)
     hot = hot_keys(hourly_keys(messages), ["peer_id", "node_id", "session_hour"], CFG)
-    slices = hour_slices(m.sessions, *m.bounds)
+    slices = hour_slices(m.built_spans, *m.bounds)
     return flat(
         points_in_hour_slices(m.announced, slices, hot).select(
             "peer_id", "node_id", "session_hour", "start_time", "end_time", "msg_timestamp", "tx_hash"
@@ -508,7 +513,7 @@ CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "hourly_performance": lambda m: m.hourly,
     "peer_performance": lambda m: m.performance,
     "fact_hash": lambda m: flat(fact_hash(m.feed, m.staged, CFG)),
-    "session_unique_hash": lambda m: session_unique_hash(m.feed, m.sessions, m.staged, CFG),
+    "session_unique_hash": lambda m: session_unique_hash(m.feed, m.built_spans, m.staged, CFG),
     "undersampled": lambda m: m.undersampled,
     "hourly_run": _hourly_run,
     # scans, sources, sinks
@@ -533,7 +538,7 @@ CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "preconfirmation_join": _preconfirmation_join,
     "interval_join_hourly": _interval_join_hourly,
     "interval_join_binned": _interval_join_binned,
-    "hour_slices": lambda m: hour_slices(m.sessions, *m.bounds),
+    "hour_slices": lambda m: hour_slices(m.built_spans, *m.bounds),
     "minute_bucket_join": lambda m: join_same_minute(
         m.sessions.select("peer_id", "node_id", "start_time"), tracker_messages(m.feed, SINCE)
     ),

@@ -283,10 +283,10 @@ orders_kept AS (
 hash_facts AS (
   SELECT substr(h.tx_hash, 3) AS tx_hash, seen[1].peer AS first_peer, t.blk_timestamp AS confirmed_at,
     seen[1].ts AS first_seen_at, seen[2].ts AS second_seen_at, seen[1].node AS first_node, seen[2].node AS second_node,
-    len(list_distinct(list_transform(seen, lambda s: s.peer))) AS seen_by_count,
+    CAST(len(list_distinct(list_transform(seen, lambda s: s.peer))) AS INTEGER) AS seen_by_count,
     date_diff('microsecond', seen[1].ts, seen[2].ts) * 1000 AS win_margin_nano,
-    win_margin_nano / 1000000000 AS win_margin_sec, len(pm.msg_data) AS first_msg_hash_count,
-    list_position(pm.msg_data, h.tx_hash) - 1 AS first_msg_hash_index,
+    win_margin_nano / 1000000000 AS win_margin_sec, CAST(len(pm.msg_data) AS INTEGER) AS first_msg_hash_count,
+    CAST(list_position(pm.msg_data, h.tx_hash) - 1 AS BIGINT) AS first_msg_hash_index,
     array_to_string(list_transform(kept, lambda s: CAST(epoch_us(s.ts) AS VARCHAR)), ',') AS msg_timestamps,
     array_to_string(list_transform(kept, lambda s: s.node), ',') AS msg_node_order,
     array_to_string(list_transform(kept, lambda s: s.peer), ',') AS msg_peer_order, t.tx_from
@@ -472,7 +472,8 @@ QUERIES: dict[str, str] = {
       FROM sessions WHERE end_time IS NOT NULL""",
     "array_ops": f"""SELECT node_id, peer_id, msg_timestamp, CAST(len({_TWICE}) AS INTEGER) AS all_ct,
       CAST(len(list_distinct({_TWICE})) AS INTEGER) AS distinct_ct, msg_data[2] AS second,
-      list_position({_TWICE}, msg_data[2]) - 1 AS second_at, list_position({_TWICE}, '0x') - 1 AS absent_at FROM hash_msg""",
+      CAST(list_position({_TWICE}, msg_data[2]) - 1 AS BIGINT) AS second_at,
+      CAST(list_position({_TWICE}, '0x') - 1 AS BIGINT) AS absent_at FROM hash_msg""",
     "duplicate_indices": f"""SELECT node_id, peer_id, msg_timestamp, array_to_string(
       list_transform({_REPEATED}, lambda i: CAST(i AS VARCHAR)), ',') AS indices FROM hash_msg""",
     "remove_indices": """SELECT node_id, peer_id, msg_timestamp, array_to_string(msg_data, ',') AS kept FROM hash_msg""",

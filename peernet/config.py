@@ -32,7 +32,7 @@ class RunConfig:
     environment: str = "production"
     full_refresh: bool = False
     # Windows over one peer's history run per time chunk, so a busy peer is spread over many tasks.
-    chunk: str = "day"
+    chunk: str = "hour"
     # A join key is hot above max(hot_min_rows, rows / hot_limit); at most hot_limit keys can be.
     # They are looked for in a sample of the rows.
     hot_limit: int = 1000

@@ -72,21 +72,26 @@ def unquote(text: Column) -> Column:
     return F.replace(text, F.lit('"'), F.lit(""))
 
 
+# The patterns that cut a client text `type/version/os/runtime`.
+VERSION_PATTERN = r"v[^/]+"
+OS_PATTERN = r"/([^/]+)/[^/]+$"
+RUNTIME_PATTERN = r"([^/]+)$"
+
+
 def client_type(client: Column) -> Column:
     return non_empty(F.split_part(client, F.lit("/"), F.lit(1)))
 
 
 def client_version(client: Column) -> Column:
-    # The three patterns that cut a client text `type/version/os/runtime`.
-    return non_empty(F.regexp_extract(client, r"v[^/]+", 0))
+    return non_empty(F.regexp_extract(client, VERSION_PATTERN, 0))
 
 
 def client_os(client: Column) -> Column:
-    return non_empty(F.regexp_extract(client, r"/([^/]+)/[^/]+$", 1))
+    return non_empty(F.regexp_extract(client, OS_PATTERN, 1))
 
 
 def client_runtime(client: Column) -> Column:
-    return non_empty(F.regexp_extract(client, r"([^/]+)$", 1))
+    return non_empty(F.regexp_extract(client, RUNTIME_PATTERN, 1))
 
 
 def address_host(address: Column) -> Column:
