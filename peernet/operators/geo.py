@@ -43,7 +43,8 @@ def locate(addresses: DataFrame, ip: str, blocks: DataFrame) -> DataFrame:
     keyed = distinct.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(_WIDEST)))).withColumn(
         "prefix", F.expr("shiftright(_n, level)")
     )
-    found = keyed.join(block_pieces(blocks), ["level", "prefix"], "inner")
+    # Pieces can be many more than blocks, which the size estimate does not see: merge, do not broadcast.
+    found = keyed.join(block_pieces(blocks).hint("merge"), ["level", "prefix"], "inner")
     narrowest = F.struct((F.col("end_ip") - F.col("start_ip")).alias("size"), "start_ip", "country_code")
     place = F.struct("country_code", "city", "subdivision")
     return found.groupBy(ip).agg(F.min_by(place, narrowest).alias("place")).select(ip, "place.*")

@@ -1,4 +1,8 @@
-"""Joins of points in time to closed intervals, and cutting of sessions into hours."""
+"""Joins of points in time to closed intervals, and cutting of sessions into hours.
+
+Sessions grow by up to 1000 rows each when cut, which Spark's size estimate does not see: so the cut side is always
+merged, never broadcast.
+"""
 
 from __future__ import annotations
 
@@ -68,7 +72,7 @@ def points_in_hour_slices(points: DataFrame, slices: DataFrame, hot: HotKeys) ->
     ).otherwise(F.array(hour))
     return salted_join(
         points.withColumn("session_hour", F.explode(hours)),
-        slices,
+        slices.hint("merge"),
         ["peer_id", "node_id", "session_hour"],
         "inner",
         hot,
@@ -85,7 +89,7 @@ def points_in_intervals(
     cells = F.when(F.col(start) <= F.col(end), F.sequence(first, last, F.expr(f"interval 1 {cell}")))
     return salted_join(
         points.withColumn("_cell", time_bucket(cell, F.col("msg_timestamp"))),
-        intervals.withColumn("_cell", F.explode(cells)),
+        intervals.withColumn("_cell", F.explode(cells)).hint("merge"),
         [*keys, "_cell"],
         "inner",
         hot,

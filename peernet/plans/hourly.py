@@ -74,7 +74,7 @@ def hourly_performance(
             F.count_distinct("confirmed_hash").alias("confirmed_distinct_tx_count"),
         )
     )
-    # Both sides are grouped by the same columns, so this join moves nothing again.
+    # Both sides are already grouped by the same columns, so this join moves nothing again.
     known = slices.select(*SLICE).distinct().join(counted, SLICE, "left")
     zero = F.lit(0).cast("bigint")
     counted = known.withColumns(
