@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import Column, SparkSession
@@ -62,12 +61,9 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor can reach, for staged tables: the one named in spark.checkpoint.dir."""
+    """Folder that every executor can reach, for staged tables: the one named in spark.checkpoint.dir.
+
+    Where that is unset, as in tests, a folder under the warehouse; the session's settings stay as they are.
+    """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="peernet-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged").rstrip("/")
