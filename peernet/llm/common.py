@@ -28,6 +28,7 @@ def stage(df: DataFrame, what: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: computed once, lineage cut, no executor holds the only copy."""
     path = scratch(df.sparkSession, what)
     df.write.option("compression", "zstd").parquet(path)
+    df.sparkSession._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files of the finished job
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -47,3 +48,11 @@ def open_store(uri: str):
 def normal_words(text: Column) -> Column:
     """Lower-case words joined by single spaces; '' for a text without words."""
     return F.trim(F.regexp_replace(F.lower(text), NOT_WORD, " "))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, with underscores added until no column of `df` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peernet.llm.common import scratch, table
+from peernet.llm.fingerprints import fingerprint_documents
+from peernet.llm.language import identify
 from peernet.llm.licenses import oracle as license_oracle
 from peernet.llm.licenses import scan_licenses
+from peernet.llm.line_dedup import drop_repeated_lines
+from peernet.llm.near_duplicates import near_duplicate_classes
+from peernet.llm.token_files import read_documents, write_token_files
 from peernet.llm.topk import exact_top_k, fixed_point
 from peernet.llm.warc import RFC_DIGITS, read_records, write_archives
 
@@ -21,18 +26,49 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", fixed_point(F.col("embedding")).alias("v"))
     return exact_top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), "vec_id", "v", k=10)
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """`tokenizer` is a path that every executor can open; the installed public byte-level BPE by default."""
+    import public_tokenizers
+
+    path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
+    return read_documents(write_token_files(table(spark, sf_dir, "documents"), scratch(spark, "ids"), path))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each text: its number of lines and its SHA-256."""
+    left = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", F.size(F.split("text", "\n")).alias("n_lines"), F.sha2("text", 256).alias("text_sha256"))
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("places")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_language": op2_language,
     "op4_topk": op4_topk,
+    "op6_token_files": op6_token_files,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_near_duplicates": op8_near_duplicates,
+    "op9_fingerprints": op9_fingerprints,
     "op10_licenses": op10_licenses,
 }
 
