@@ -14,6 +14,7 @@ from peernet.llm.licenses import oracle as license_oracle
 from peernet.llm.licenses import scan_licenses
 from peernet.llm.line_dedup import drop_repeated_lines
 from peernet.llm.near_duplicates import near_duplicate_classes
+from peernet.llm.packing import measured, pack_documents
 from peernet.llm.token_files import read_documents, write_token_files
 from peernet.llm.topk import exact_top_k, fixed_point
 from peernet.llm.warc import RFC_DIGITS, read_records, write_archives
@@ -30,6 +31,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(measured(table(spark, sf_dir, "documents")), capacity=2048)
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", fixed_point(F.col("embedding")).alias("v"))
     return exact_top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), "vec_id", "v", k=10)
@@ -64,6 +69,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_language": op2_language,
+    "op3_packing": op3_packing,
     "op4_topk": op4_topk,
     "op6_token_files": op6_token_files,
     "op7_line_dedup": op7_line_dedup,
