@@ -2,8 +2,9 @@
 
 A bucket with two nodes is a pair. In a larger one every node is first held against the bucket's smallest node, so a large
 group of alike nodes costs one pair per node. What that leaves unconnected is then compared in full: in every bucket that
-still spans several groups, the nodes outside its largest group meet all nodes of the other groups there. So each two
-nodes that share a bucket are compared or are already in one group.
+still spans several groups, the nodes outside its largest group meet all nodes of the other groups there. A cheap test on
+the nodes' payloads, which may only refuse pairs that are not linked, is part of that join, so that it makes rows for likely
+pairs alone. So each two nodes that share a bucket are compared or are already in one group.
 
 Groups are found by alternating large-star and small-star steps, which keep hold of edges only, each step written to the
 shared folder. Nodes are longs; the group is named by its smallest node.
@@ -13,12 +14,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peernet.llm.common import drop_staged, stage
 
 Verify = Callable[[DataFrame], DataFrame]
+Possible = Callable[[Column, Column], Column]
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
@@ -57,10 +59,11 @@ def connected(edges: DataFrame) -> DataFrame:
         drop_staged(old)
 
 
-def bucket_links(members: DataFrame, verify: Verify) -> DataFrame:
+def bucket_links(members: DataFrame, payloads: DataFrame, possible: Possible, verify: Verify) -> DataFrame:
     """Verified edges (a, b), a < b, between nodes that share a bucket, enough to connect all that are linked.
 
-    `members` holds distinct (node, bucket) rows; `verify` keeps the pairs (a, b) that are linked.
+    `members` holds distinct (node, bucket) rows and `payloads` one (node, payload) row per node; `possible` tells from two
+    payloads whether the nodes can be linked, and `verify` keeps the pairs (a, b) that are.
     """
     sizes = members.groupBy("bucket").agg(
         F.min("node").alias("pivot"), F.max("node").alias("last"), F.count(F.lit(1)).alias("n")
@@ -87,16 +90,18 @@ def bucket_links(members: DataFrame, verify: Verify) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("groups"), F.max_by("group", F.struct("n", "group")).alias("largest"))
     )
     split = stage(split.where(F.col("groups") > 1).drop("groups"), "buckets")
-    open_members = stage(placed.join(split, "bucket").where(F.col("node") != F.col("pivot")), "members")
+    open_members = stage(placed.join(split, "bucket").where(F.col("node") != F.col("pivot")).drop("pivot"), "members")
+    open_members, bare = stage(open_members.join(payloads, "node"), "members"), open_members
     outside = open_members.where(F.col("group") != F.col("largest")).select(
-        "bucket", F.col("node").alias("x"), F.col("group").alias("x_group")
+        F.col("bucket").alias("x_bucket"), F.col("node").alias("x"), F.col("group").alias("x_group"), F.col("payload").alias("x_payload")
     )
-    across = (
-        outside.join(open_members, "bucket")
-        .where(F.col("x_group") != F.col("group"))
-        .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
+    meet = (
+        (F.col("x_bucket") == F.col("bucket"))
+        & (F.col("x_group") != F.col("group"))
+        & possible(F.col("x_payload"), F.col("payload"))
     )
+    across = outside.join(open_members, meet).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
     more = stage(verify(across.distinct()), "links")
-    for used in (shared, crowd, placed, split, open_members):
+    for used in (shared, crowd, placed, split, bare, open_members):
         drop_staged(used)
     return links.unionByName(more)

@@ -7,6 +7,9 @@ coordinate with the probability of their weighted Jaccard index. Ranks are looke
 document, and further only where a coordinate is still empty; so the work is that of the document's length plus a
 constant.
 
+Cells also flip bits of an odd sketch: two sketches differ in at most as many bits as the documents differ in cells, so a
+pair whose sketches differ in more than the threshold allows is refused without looking at its cells.
+
 Equal texts (after normalisation) are one node. Nodes that agree in a band of coordinates are compared by the exact
 weighted Jaccard index of their cells (`groups.bucket_links`), and linked from `threshold` up. A class is a connected
 group and is named by its smallest id.
@@ -19,17 +22,19 @@ a NULL class. Other columns are ignored. An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from peernet.llm.common import fresh, normal_words, stage
 from peernet.llm.groups import bucket_links, connected
 
 SHINGLE, BANDS, ROWS = 5, 25, 5
+SKETCH_WORDS = 32  # longs of an odd sketch
 BATCH_WORDS = 1 << 20
 
 _GOLD, _M1, _M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -123,10 +128,18 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return _mix(keys + np.arange(bands, dtype=np.uint64)[None, :] * _M2)
 
 
-SIGNED = "doc_id long, h1 long, h2 long, cells array<int>, bands array<long>"
+def odd_sketches(cells: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """n x SKETCH_WORDS: per document the bits that an odd number of its cells hash to."""
+    bit = _mix(cells + _GOLD) % np.uint64(64 * SKETCH_WORDS)
+    out = np.zeros(n * SKETCH_WORDS, np.uint64)
+    np.bitwise_xor.at(out, owner * SKETCH_WORDS + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return out.reshape(n, SKETCH_WORDS)
+
+
+SIGNED = "doc_id long, h1 long, h2 long, cells array<int>, bands array<long>, sketch array<long>"
 SIGNED_ARROW = pa.schema(
     [("doc_id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("cells", pa.list_(pa.int32())),
-     ("bands", pa.list_(pa.int64()))]
+     ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
 )
 
 
@@ -141,16 +154,19 @@ def _signed(bands: int, rows: int):
                     size, j = size + len(texts[j]), j + 1
                 with np.errstate(over="ignore"):
                     cells, owner = shingle_cells(texts[i:j])
+                    sketches = odd_sketches(cells, owner, j - i)
                     keys = band_keys(dart_signatures(cells, owner, j - i, bands * rows), bands, rows)
                 small = (cells >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 ends = np.searchsorted(owner, np.arange(j - i + 1), side="left").astype(np.int32)
                 filled = np.diff(ends) > 0
+                sketch_ends = np.arange(0, (j - i + 1) * SKETCH_WORDS, SKETCH_WORDS, dtype=np.int32)
                 key_ends = np.concatenate([[0], np.cumsum(filled * bands)]).astype(np.int32)
                 yield pa.record_batch(
                     [
                         *(batch.column(c).slice(i, j - i) for c in ("doc_id", "h1", "h2")),
                         pa.ListArray.from_arrays(ends, pa.array(small)),
                         pa.ListArray.from_arrays(key_ends, pa.array(keys[filled].reshape(-1).view(np.int64))),
+                        pa.ListArray.from_arrays(sketch_ends, pa.array(sketches.reshape(-1).view(np.int64))),
                     ],
                     schema=SIGNED_ARROW,
                 )
@@ -188,7 +204,12 @@ def near_duplicate_classes(
     nodes = stage(
         signed.where(F.col("doc_id").isNotNull())
         .groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands")),
+        .agg(
+            F.min("doc_id").alias("node"),
+            F.first("bands").alias("bands"),
+            F.first(F.size("cells")).alias("size"),
+            F.first("sketch").alias("sketch"),
+        ),
         "nodes",
     )
     members = nodes.select("node", F.explode("bands").alias("bucket")).distinct()
@@ -202,7 +223,17 @@ def near_duplicate_classes(
         alike = common / (F.size("x") + F.size("y") - common)
         return both.where(alike >= threshold).select("a", "b").distinct()
 
-    links = bucket_links(members, verify)
+    # What a pair may differ in: from J >= t follows |A xor B| <= (1 - t) / (1 + t) * (|A| + |B|).
+    share = (1 - threshold) / (1 + threshold)
+
+    def possible(x: Column, y: Column) -> Column:
+        words = [F.get(x["sketch"], i).bitwiseXOR(F.get(y["sketch"], i)) for i in range(SKETCH_WORDS)]
+        differ = reduce(lambda a, b: a + b, map(F.bit_count, words))
+        return differ <= F.floor((x["size"] + y["size"]) * F.lit(share) + F.lit(1e-9))
+
+    # A node's first text stands for it; rows that share an id are tied together below.
+    payloads = nodes.groupBy("node").agg(F.min_by(F.struct("size", "sketch"), F.struct("h1", "h2")).alias("payload"))
+    links = bucket_links(members, payloads, possible, verify)
     # Rows that share an id tie their texts' nodes together.
     texts = signed.where(F.col("doc_id").isNotNull()).select("doc_id", "h1", "h2").distinct()
     of_text = texts.join(nodes.select("h1", "h2", "node"), ["h1", "h2"])

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from peernet.llm.groups import bucket_links, connected
 
 
@@ -38,5 +40,7 @@ def test_a_bucket_whose_smallest_node_is_like_no_other(spark):
     linked = {(5, 6), (6, 7), (8, 9)}
     members = spark.createDataFrame([(n, 1) for n in (1, 5, 6, 7, 8, 9)] + [(20, 2), (21, 2)], "node long, bucket long")
     pairs = spark.createDataFrame(list(linked | {(20, 21)}), "a long, b long")
-    links = bucket_links(members, lambda p: p.join(pairs, ["a", "b"]))
+    payloads = members.select("node", (F.col("node") % 10).alias("payload")).distinct()
+    refused = lambda x, y: F.abs(x - y) <= 1  # noqa: E731  true of all linked pairs
+    links = bucket_links(members, payloads, refused, lambda p: p.join(pairs, ["a", "b"]))
     assert {(r.a, r.b) for r in links.collect()} == linked | {(20, 21)}

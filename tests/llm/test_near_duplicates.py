@@ -14,6 +14,7 @@ from peernet.llm.near_duplicates import (
     dart_signatures,
     drop_near_duplicates,
     near_duplicate_classes,
+    odd_sketches,
     shingle_cells,
 )
 
@@ -139,3 +140,13 @@ def test_a_large_group_costs_a_pair_per_node(spark):
         texts.append(" ".join(text))
     docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
     assert {r.class_id for r in near_duplicate_classes(docs).collect()} == {0}
+
+
+def test_sketches_differ_in_no_more_bits_than_documents_in_cells():
+    rng = np.random.default_rng(7)
+    shared, own_a, own_b = (rng.integers(0, 1 << 63, n, dtype=np.uint64) for n in (300, 20, 31))
+    cells, owner = np.concatenate([shared, own_a, shared, own_b]), np.repeat([0, 1], [320, 331])
+    with np.errstate(over="ignore"):
+        a, b = odd_sketches(cells, owner, 2)
+    differ = sum(int(x).bit_count() for x in a ^ b)
+    assert 40 <= differ <= 51 and (51 - differ) % 2 == 0
