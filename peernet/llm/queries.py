@@ -15,6 +15,7 @@ from peernet.llm.licenses import scan_licenses
 from peernet.llm.line_dedup import drop_repeated_lines
 from peernet.llm.near_duplicates import near_duplicate_classes
 from peernet.llm.packing import measured, pack_documents
+from peernet.llm.subwords import decoded, sampled_ids
 from peernet.llm.token_files import read_documents, write_token_files
 from peernet.llm.topk import exact_top_k, fixed_point
 from peernet.llm.warc import RFC_DIGITS, read_records, write_archives
@@ -40,6 +41,21 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), "vec_id", "v", k=10)
 
 
+def op5_subwords(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    """Number and CRC-32 of every text's sampled ids, and whether they decode to the text."""
+    import public_tokenizers
+
+    path = model or public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    ids = docs.withColumn("ids", sampled_ids(F.col("doc_id"), F.col("text"), path))
+    return ids.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"),
+        (decoded(F.col("ids"), path) == F.col("text")).alias("lossless"),
+    )
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """`tokenizer` is a path that every executor can open; the installed public byte-level BPE by default."""
     import public_tokenizers
@@ -71,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_packing": op3_packing,
     "op4_topk": op4_topk,
+    "op5_subwords": op5_subwords,
     "op6_token_files": op6_token_files,
     "op7_line_dedup": op7_line_dedup,
     "op8_near_duplicates": op8_near_duplicates,
