@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peernet.llm.common import open_store
+from peernet.llm.common import open_store, stage
 
 INDEX_SCHEMA = "file string, offset long, length long, url string, digest string, record_type string, id long"
 RECORD_SCHEMA = (
@@ -84,6 +84,7 @@ def write_archives(
         .where((F.col("copies") > 1) & F.col("first_id").isNotNull())
         .drop("copies")
     )
+    kept = stage(kept, "kept")  # as a table, it lets the join split a payload that a large part of the rows share
     revisits = F.col("first_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("first_id"))
     rows = records.join(kept, ["digest", "bytes"], "left").select(
         "id",
