@@ -193,15 +193,14 @@ spans AS (
     date_trunc('hour', start_time) AS start_hour,
     date_trunc('hour', coalesce(end_time, least(hi, start_time + INTERVAL 12 HOURS))) AS end_hour, lo, hi
   FROM sessions s, limits
-  WHERE start_time < hi AND start_time >= lo - INTERVAL 12 HOURS AND (s.end_time >= lo OR s.end_time IS NULL)),
+  WHERE start_time < hi AND coalesce(s.end_time, least(hi, start_time + INTERVAL 12 HOURS)) >= lo),
 slices AS (
   SELECT peer_id, node_id, session_hour, start_time, end_time,
     session_hour = start_hour OR session_hour = end_hour AS is_edge_hour,
     greatest(session_hour, start_time) AS session_hour_start,
     least(end_time, session_hour + INTERVAL 1 HOUR) AS session_hour_end,
     date_diff('minute', session_hour_start, session_hour_end) AS session_hour_minutes
-  FROM (SELECT *, start_hour + to_hours(CAST(idx AS INTEGER)) AS session_hour FROM spans, range(0, 1000) r(idx)
-        WHERE start_hour + to_hours(CAST(idx AS INTEGER)) <= end_hour)
+  FROM (SELECT *, unnest(generate_series(start_hour, end_hour, INTERVAL 1 HOUR)) AS session_hour FROM spans)
   WHERE session_hour >= lo AND session_hour < hi
     AND greatest(session_hour, start_time) <> least(end_time, session_hour + INTERVAL 1 HOUR)),
 counted AS (

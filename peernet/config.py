@@ -28,11 +28,13 @@ class RunConfig:
     chains: tuple[str, ...] = ("ethereum",)
     # The text a local node writes into the feed when it starts; it closes every session that node had open.
     node_start_type: str = "node_start"
+    # Announcements that reach the feed up to so many hours late still count; the merge only moves sightings back.
+    late_hours: int = 14
     environment: str = "production"
     full_refresh: bool = False
     # Windows over one peer's history run per time chunk, so a busy peer is spread over many tasks.
     chunk: str = "hour"
-    # A join key is hot above max(hot_min_rows, rows / hot_limit); at most hot_limit keys can be.
+    # A join key is hot above hot_min_rows, and is cut into pieces of that size; the hot_limit most frequent keys can be.
     # They are looked for in a sample of the rows.
     hot_limit: int = 1000
     hot_min_rows: int = 1_000_000

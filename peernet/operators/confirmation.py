@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peernet.config import HASH_TYPES, RunConfig
+from peernet.config import HASH_TYPES, RunConfig, ntz
 from peernet.functions.scalars import hex_to_bytes
 from peernet.operators.skew import hot_keys, salted_join
 
@@ -26,8 +26,15 @@ def block_times(transactions: DataFrame) -> DataFrame:
     return transactions.groupBy("tx_hash", "blk_timestamp").agg(F.count(F.lit(1)).alias("copies"))
 
 
-def preconfirmation_join(announced: DataFrame, transactions: DataFrame, how: str, cfg: RunConfig) -> DataFrame:
-    """Announcements with the block times after them. `how='left'` keeps the others, with NULL copies."""
+def preconfirmation_join(
+    announced: DataFrame, transactions: DataFrame, how: str, cfg: RunConfig, after: str | None = None
+) -> DataFrame:
+    """Announcements with the block times after them. `how='left'` keeps the others, with NULL copies.
+
+    `after` is a time that no announcement lies before: earlier blocks confirm none, so they are not read.
+    """
+    if after is not None:
+        transactions = transactions.where(F.col("blk_timestamp") > ntz(after))
     return salted_join(
         announced,
         block_times(transactions),

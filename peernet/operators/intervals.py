@@ -1,7 +1,7 @@
 """Joins of points in time to closed intervals, and cutting of sessions into hours.
 
-Sessions grow by up to 1000 rows each when cut, which Spark's size estimate does not see: so the cut side is always
-merged, never broadcast.
+A session grows by a row per hour when cut, which Spark's size estimate does not see: so the cut side is always merged,
+never broadcast.
 """
 
 from __future__ import annotations
@@ -14,33 +14,38 @@ from peernet.functions.scalars import minutes_crossed, null_greatest, null_least
 from peernet.operators.skew import HotKeys, salted_join
 
 
-def hour_slices(sessions: DataFrame, lo: str | None, hi: str | None) -> DataFrame:
+def _spans(sessions: DataFrame, lo: str | None, hi: str | None) -> DataFrame:
+    """Sessions that reach into [lo, hi); an open one ends 12 hours after its start, or at `hi` if that is earlier."""
+    end = F.coalesce("end_time", null_least(ntz(hi), F.col("start_time") + F.expr("interval 12 hours")))
+    return (
+        sessions.select("peer_id", "node_id", "start_time", end.alias("end_time"))
+        .where((F.col("start_time") < ntz(hi)) & (F.col("end_time") >= ntz(lo)))
+        .withColumns(
+            {
+                "start_hour": time_bucket("hour", F.col("start_time")),
+                "end_hour": time_bucket("hour", F.col("end_time")),
+            }
+        )
+    )
+
+
+def slices_from(sessions: DataFrame, lo: str | None, hi: str | None) -> str | None:
+    """The first hour that `hour_slices(..., whole=True)` makes: where the earliest session that crosses `lo` starts."""
+    first = _spans(sessions, lo, hi).agg(F.least(F.min("start_hour"), ntz(lo)).cast("string")).first()[0]
+    return first or lo
+
+
+def hour_slices(sessions: DataFrame, lo: str | None, hi: str | None, whole: bool = False) -> DataFrame:
     """One row per session and hour of [lo, hi), clipped to the session.
 
-    An open session ends 12 hours after its start, or at `hi` if that is earlier. A session covers at most 1000 hours
-    from its first one. Hours outside [lo, hi) are never generated; slices without extent are dropped.
+    Hours outside [lo, hi) are not generated; slices without extent are dropped. With `whole`, sessions that cross `lo`
+    get their earlier hours too: those were made when the session's end was not known yet, and are to be replaced.
     """
     lower, upper = ntz(lo), ntz(hi)
-    imputed = null_least(upper, F.col("start_time") + F.expr("interval 12 hours"))
-    spans = sessions.where(
-        (F.col("start_time") < upper)
-        & (F.col("start_time") >= lower - F.expr("interval 12 hours"))
-        & ((F.col("end_time") >= lower) | F.col("end_time").isNull())
-    ).select(
-        "peer_id",
-        "node_id",
-        "start_time",
-        F.coalesce("end_time", imputed).alias("end_time"),
-        time_bucket("hour", F.col("start_time")).alias("start_hour"),
-        time_bucket("hour", F.coalesce("end_time", imputed)).alias("end_hour"),
-    )
+    spans = _spans(sessions, lo, hi)
     first_whole = time_bucket("hour", lower + F.expr("interval 1 hour") - F.expr("interval 1 microsecond"))
-    first = F.greatest(F.col("start_hour"), first_whole)
-    last = F.least(
-        F.col("end_hour"),
-        F.col("start_hour") + F.expr("interval 999 hours"),
-        time_bucket("hour", upper - F.expr("interval 1 microsecond")),
-    )
+    first = F.col("start_hour") if whole else F.greatest(F.col("start_hour"), first_whole)
+    last = F.least(F.col("end_hour"), time_bucket("hour", upper - F.expr("interval 1 microsecond")))
     hours = F.when(first <= last, F.sequence(first, last, F.expr("interval 1 hour")))
     session_hour = F.col("session_hour")
     return (

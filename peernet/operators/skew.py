@@ -9,23 +9,26 @@ number of pieces, and a join without hot keys stays a plain one. A missed or sur
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peernet.config import RunConfig
 
 HotKeys = dict[int, int]
+NULL_PIECES = 1024
 
 
 def hot_keys(rows: DataFrame, keys: list[str], cfg: RunConfig) -> HotKeys:
-    """Fingerprints of the hot keys, each with the number of pieces to cut it into."""
+    """Fingerprints of the hot keys, each with the number of pieces of about `hot_min_rows` rows to cut it into."""
     if cfg.hot_sample < 1:
         rows = rows.sample(cfg.hot_sample, seed=1)
     top = F.call_function("approx_top_k", F.xxhash64(*keys), F.lit(cfg.hot_limit), F.lit(10 * cfg.hot_limit))
-    seen = rows.agg(top.alias("top"), F.count(F.lit(1)).alias("n"))
-    piece = F.greatest(F.lit(cfg.hot_min_rows * cfg.hot_sample), F.col("n") / F.lit(cfg.hot_limit))
+    seen = rows.agg(top.alias("top"))
+    piece = F.lit(cfg.hot_min_rows * cfg.hot_sample)
     hot = (
-        seen.select(F.inline("top").alias("key_print", "ct"), "n")
+        seen.select(F.inline("top").alias("key_print", "ct"))
         .where(F.col("ct") > piece)
         .select("key_print", F.ceil(F.col("ct") / piece).cast("int"))
     )
@@ -45,7 +48,8 @@ def salted_join(
 
     `how` is inner, or left with `big` preserved. The piece is a function of the `spread` columns and of the input
     partition, both of which a recomputed task reproduces, so losing an executor cannot move a row between pieces; and
-    copies of one row spread too, since they lie in different partitions. `residual` may name columns of both sides.
+    copies of one row spread too, since they lie in different partitions. Rows of `big` with a NULL key match nothing;
+    in a left join they are spread over NULL_PIECES pieces. `residual` may name columns of both sides.
     """
     if how not in ("inner", "left"):
         raise ValueError("only inner and left keep every row once")
@@ -66,6 +70,15 @@ def salted_join(
             .drop("_key_print", "_salts")
         )
         condition = condition & (F.col("_salt") == F.col("_r_salt"))
+    if how == "left":
+        # NULL keys have no partner, but all the same they would meet in one task.
+        unknown = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        salt = F.col("_salt") if hot else F.lit(0)
+        spread_nulls = F.pmod(F.xxhash64(F.spark_partition_id(), *spread), F.lit(NULL_PIECES)).cast("int")
+        left = left.withColumn("_salt", F.when(unknown, spread_nulls).otherwise(salt))
+        if not hot:
+            right = right.withColumn("_r_salt", F.lit(0))
+            condition = condition & (F.col("_salt") == F.col("_r_salt"))
     right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     for k in keys:
         condition = condition & (F.col(k) == F.col(f"_r_{k}"))

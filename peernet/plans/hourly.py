@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from peernet.config import RunConfig, ntz
 from peernet.functions.scalars import div0, minutes_crossed, null_greatest, null_least, time_bucket
 from peernet.operators.confirmation import explode_hashes, hash_messages, preconfirmation_join
-from peernet.operators.intervals import hour_slices, hourly_keys, points_in_hour_slices
+from peernet.operators.intervals import hour_slices, hourly_keys, points_in_hour_slices, slices_from
 from peernet.operators.skew import hot_keys
 
 # A slice is determined by these; its other columns are derived again after the aggregation, to shuffle less.
@@ -34,7 +34,8 @@ def hourly_window(
         start = cfg.initial_bound
     else:
         last = F.max("session_hour") + F.expr("interval 1 hour")
-        start = target.agg(last.cast("string")).first()[0]
+        # A target without rows yet is like none.
+        start = target.agg(last.cast("string")).first()[0] or cfg.initial_bound
     end = hourly_bounds(sessions, transactions).select(F.col("update_end_time").cast("string")).first()[0]
     return start, end
 
@@ -46,40 +47,39 @@ def hourly_performance(
     lo: str | None,
     hi: str | None,
     cfg: RunConfig,
+    whole: bool = False,
 ) -> DataFrame:
-    """One row per session and hour of [lo, hi), also for hours without any announcement.
+    """One row per session and hour of [lo, hi), also for hours without any announcement. With `whole`, sessions that
+    cross `lo` come with all their hours, to replace those of an earlier run.
 
     Announcements meet the block times (shuffle by hash) and then the slices (shuffle by node, peer and hour); both
-    joins cut hot keys. Slices without an announcement come back in at the end, when only counts are left.
+    joins cut hot keys. Every slice joins the count as a row of no messages, so one aggregation makes all hours.
     """
     lower, upper = ntz(lo), ntz(hi)
-    messages = hash_messages(feed).where(F.col("msg_timestamp").between(lower, upper))
+    reach = slices_from(sessions, lo, hi) if whole else lo
+    messages = hash_messages(feed).where(F.col("msg_timestamp").between(ntz(reach), upper))
     announced = explode_hashes(messages, "peer_id", "node_id", "msg_timestamp").select(
         "peer_id", "node_id", "msg_timestamp", "tx_hash"
     )
-    marked = preconfirmation_join(announced, transactions, "left", cfg).select(
+    marked = preconfirmation_join(announced, transactions, "left", cfg, after=reach).select(
         "peer_id",
         "node_id",
         "msg_timestamp",
         F.when(F.col("copies").isNotNull(), F.col("tx_hash")).alias("confirmed_hash"),
         F.coalesce("copies", F.lit(1)).alias("messages"),
     )
-    slices = hour_slices(sessions, lo, hi)
+    slices = hour_slices(sessions, lo, hi, whole)
     hot = hot_keys(hourly_keys(messages), ["peer_id", "node_id", "session_hour"], cfg)
+    matched = points_in_hour_slices(marked, slices, hot).select(*SLICE, "messages", "confirmed_hash")
+    silent = slices.select(*SLICE, F.lit(0).cast("bigint").alias("messages"), F.lit(None).cast("binary").alias("confirmed_hash"))
     counted = (
-        points_in_hour_slices(marked, slices, hot)
+        matched.unionByName(silent)
         .groupBy(*SLICE)
         .agg(
             F.sum("messages").alias("total_hash_count"),
             F.count_distinct("confirmed_hash").alias("confirmed_distinct_tx_count"),
         )
     )
-    # Both sides are already grouped by the same columns, so this join moves nothing again.
-    known = slices.select(*SLICE).distinct().join(counted, SLICE, "left")
-    zero = F.lit(0).cast("bigint")
-    counted = known.withColumns(
-        {c: F.coalesce(c, zero) for c in ("total_hash_count", "confirmed_distinct_tx_count")}
-    )
     hour, minutes = F.col("session_hour"), F.col("session_hour_minutes")
     whole = counted.withColumns(
         {

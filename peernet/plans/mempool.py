@@ -22,10 +22,12 @@ def first_seen(feed: DataFrame, since: str | None) -> DataFrame:
 
 
 def mempool_watermark(target: DataFrame | None, cfg: RunConfig) -> str | None:
-    """Newest first sighting of the target. Announcements at or before it are not read again."""
+    """The newest first sighting of the target, less the time that announcements may be late by. A target without rows
+    yet is like none."""
     if target is None:
         return cfg.initial_bound
-    return target.agg(F.max("first_seen_at").cast("string")).first()[0]
+    newest = F.max("first_seen_at") - F.expr(f"interval {cfg.late_hours} hours")
+    return target.agg(newest.cast("string")).first()[0] or cfg.initial_bound
 
 
 def fact_mempool(feed: DataFrame, target: DataFrame, since: str | None, cfg: RunConfig) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,11 +13,17 @@ from peernet.functions.scalars import bytes_to_hex, nanos_between
 from peernet.operators.confirmation import explode_hashes, hash_messages, preconfirmation_join
 
 
+def recent_from(cfg: RunConfig) -> str:
+    """A week before the run, as text, so that it reaches the scans as a literal."""
+    week_ago = datetime.fromisoformat(cfg.as_of) - timedelta(weeks=1)
+    return week_ago.isoformat(sep=" ")
+
+
 def recent_messages(feed: DataFrame, cfg: RunConfig) -> DataFrame:
     """Hash messages of the last week, with the peer id as bytes."""
     return (
         hash_messages(feed)
-        .where(F.col("msg_timestamp") > ntz(cfg.as_of) - F.expr("interval 1 week"))
+        .where(F.col("msg_timestamp") > ntz(recent_from(cfg)))
         .select("node_id", F.unhex("peer_id").alias("peer_id"), "msg_timestamp", "msg_data")
     )
 
@@ -55,7 +63,7 @@ def fact_hash(feed: DataFrame, transactions: DataFrame, cfg: RunConfig) -> DataF
     announced = explode_hashes(messages, "node_id", "peer_id", "msg_timestamp").select(
         "tx_hash", "node_id", "peer_id", "msg_timestamp"
     )
-    orders = announcement_orders(preconfirmation_join(announced, transactions, "inner", cfg))
+    orders = announcement_orders(preconfirmation_join(announced, transactions, "inner", cfg, after=recent_from(cfg)))
     first_messages = messages.select(
         F.col("msg_timestamp").alias("first_seen_at"), F.col("peer_id").alias("first_peer"), "msg_data"
     )

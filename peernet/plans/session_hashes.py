@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peernet.config import GET_TYPE, RunConfig, ntz
+from peernet.config import GET_TYPE, HASH_TYPES, RunConfig, ntz
 from peernet.functions.scalars import div0, minute_bin, time_bucket
 from peernet.operators.confirmation import explode_hashes, hash_messages, preconfirmation_join
 from peernet.operators.intervals import hourly_keys, points_in_intervals
@@ -39,8 +39,8 @@ def session_unique_hash(feed: DataFrame, sessions: DataFrame, transactions: Data
     """One row per session of the window. Metrics are NULL for sessions that are open or lie outside the minutes in
     which anything was announced; requests outside those minutes do not count.
 
-    Announcements and requests go through one interval join, by hour cells; sessions without a match come back in at
-    the end, when only counts are left.
+    Announcements and requests meet the sessions by hour cells and are counted apart, so that no sketch is carried
+    through the count of distinct hashes; sessions without a match come back in when only counts are left.
     """
     window = F.col("msg_timestamp").between(ntz(cfg.window_start), ntz(cfg.window_end))
     messages = hash_messages(feed).where(window)
@@ -50,17 +50,12 @@ def session_unique_hash(feed: DataFrame, sessions: DataFrame, transactions: Data
     announced = explode_hashes(messages, "peer_id", "node_id", "msg_timestamp").select(
         "peer_id", "node_id", "msg_timestamp", "tx_hash"
     )
-    broadcasts = preconfirmation_join(announced, transactions, "left", cfg).select(
+    broadcasts = preconfirmation_join(announced, transactions, "left", cfg, after=cfg.window_start).select(
         "peer_id", "node_id", "msg_timestamp",
         F.when(F.col("copies").isNotNull(), F.col("tx_hash")).alias("confirmed_hash"),
         F.coalesce("copies", F.lit(1)).alias("announced"),
-        F.lit(None).cast("bigint").alias("asked"), F.lit(None).cast("binary").alias("sketch"),
-    )
-    requests = request_messages(feed, cfg).where(in_minutes).select(
-        "peer_id", "node_id", "msg_timestamp",
-        F.lit(None).cast("binary").alias("confirmed_hash"), F.lit(0).cast("bigint").alias("announced"),
-        "asked", "sketch",
     )
+    requests = request_messages(feed, cfg).where(in_minutes)
 
     chosen = sessions.where(F.col("start_time").between(ntz(cfg.window_start), ntz(cfg.window_end)))
     spans = (
@@ -80,22 +75,21 @@ def session_unique_hash(feed: DataFrame, sessions: DataFrame, transactions: Data
             "to_second": F.least("to_second", last_cell.cast("timestamp_ntz") + F.expr("interval 1 second")),
         }
     )
-    hot = hot_keys(
-        hourly_keys(feed.where(window)).withColumnRenamed("session_hour", "_cell"), ["peer_id", "node_id", "_cell"], cfg
+    used = feed.where(window & F.col("msg_type").isin(*HASH_TYPES, GET_TYPE))
+    hot = hot_keys(hourly_keys(used).withColumnRenamed("session_hour", "_cell"), ["peer_id", "node_id", "_cell"], cfg)
+
+    def during_sessions(points: DataFrame) -> DataFrame:
+        return points_in_intervals(points, clipped, ["peer_id", "node_id"], "from_second", "to_second", "hour", hot)
+
+    heard = during_sessions(broadcasts).groupBy(*SESSION).agg(
+        F.sum("announced").alias("total_hash_count"),
+        F.count_distinct("confirmed_hash").alias("confirmed_distinct_tx_count"),
     )
-    counted = (
-        points_in_intervals(
-            broadcasts.unionByName(requests), clipped, ["peer_id", "node_id"], "from_second", "to_second", "hour", hot
-        )
-        .groupBy(*SESSION)
-        .agg(
-            F.sum("announced").alias("total_hash_count"),
-            F.count_distinct("confirmed_hash").alias("confirmed_distinct_tx_count"),
-            F.sum("asked").alias("total_get_hash_count"),
-            estimate(combine(F.col("sketch"))).alias("distinct_get_hash_count"),
-        )
+    asked = during_sessions(requests).groupBy(*SESSION).agg(
+        F.sum("asked").alias("total_get_hash_count"),
+        estimate(combine(F.col("sketch"))).alias("distinct_get_hash_count"),
     )
-    known = spans.select(*SESSION).distinct().join(counted, SESSION, "left")
+    known = spans.select(*SESSION).distinct().join(heard, SESSION, "left").join(asked, SESSION, "left")
     zero = F.lit(0).cast("bigint")
     metrics = ("total_hash_count", "confirmed_distinct_tx_count", "distinct_get_hash_count")
     counted = known.withColumns({c: F.coalesce(c, zero) for c in metrics})

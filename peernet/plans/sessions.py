@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peernet.config import GENESIS_HASH, HANDSHAKE, MAINNET, NODE_TRACKER, RunConfig, ntz
+from peernet.config import GENESIS_HASH, HANDSHAKE, MAINNET, NODE_TRACKER, PEER_ADD, RunConfig, ntz
 from peernet.functions.scalars import (
     address_host,
     address_port,
@@ -139,6 +139,25 @@ def join_crawlers(sessions: DataFrame, dim_peers: DataFrame, seen: DataFrame, cf
     return sessions
 
 
+# What a peer told at the start of its session, and what follows from it.
+TOLD_COLUMNS = [
+    "peer_public_key", "peer_rlp_protocol_version", "peer_client_type", "peer_client_version", "peer_os",
+    "peer_run_time_version", "peer_capabilities", "peer_ip", "peer_port", "in_sync", "head_block", "local_block",
+    "sync_block_gap", "peer_region", "peer_country", "peer_city", "peer_subdivision",
+]
+
+
+def keep_told(sessions: DataFrame, open_sessions: DataFrame) -> DataFrame:
+    """Sessions that were open before keep what is stored of them: its messages may lie before the look-back."""
+    key = [*PAIR, "start_time"]
+    stored = open_sessions.where(F.col("end_time").isNull()).select(
+        *[F.col(c).alias(f"_s_{c}") for c in key], *[F.col(c).alias(f"_t_{c}") for c in TOLD_COLUMNS]
+    )
+    same = [F.col(c) == F.col(f"_s_{c}") for c in key]
+    told = {c: F.coalesce(f"_t_{c}", c) for c in TOLD_COLUMNS}
+    return sessions.join(stored, same, "left").withColumns(told).drop(*[f"_s_{c}" for c in key], *[f"_t_{c}" for c in TOLD_COLUMNS])
+
+
 def fact_peer_session(
     feed: DataFrame,
     block_header: DataFrame,
@@ -162,8 +181,10 @@ def fact_peer_session(
         told, "peer_ip", geo_blocks, cfg, tracker_addresses(feed, since), [*PAIR, "start_time"]
     )
     placed = placed.join(country, "peer_country_code", "left")
-    peers = feed.where(F.col("msg_type") == "peer_set_add").select("peer_id")
+    peers = feed.where((F.col("msg_type") == PEER_ADD) & (F.col("msg_timestamp") > ntz(since))).select("peer_id")
     known = join_crawlers(placed, dim_peers, peers, cfg)
+    if open_sessions is not None:
+        known = keep_told(known, open_sessions)
     return known.select(
         "start_time", "end_time", "session_duration", "session_duration_calculated", "session_duration_hour",
         "end_time_imputed", "node_id", "peer_id", "peer_public_key", "peer_rlp_protocol_version", "peer_client_type",
