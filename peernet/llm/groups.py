@@ -3,8 +3,8 @@
 A bucket with two nodes is a pair. In a larger one every node is first held against the bucket's smallest node, so a large
 group of alike nodes costs one pair per node. What that leaves unconnected is then compared in full: in every bucket that
 still spans several groups, the nodes outside its largest group meet all nodes of the other groups there. A cheap test on
-the nodes' payloads, which may only refuse pairs that are not linked, is part of that join, so that it makes rows for likely
-pairs alone. So each two nodes that share a bucket are compared or are already in one group.
+the nodes' payloads, which may only refuse pairs that are not linked, is part of that join, and a pair that shares several
+buckets is made in the first of them alone; so the join makes one row for a likely pair. So each two nodes that share a bucket are compared or are already in one group.
 
 Groups are found by alternating large-star and small-star steps, which keep hold of edges only, each step written to the
 shared folder. Nodes are longs; the group is named by its smallest node.
@@ -59,11 +59,19 @@ def connected(edges: DataFrame) -> DataFrame:
         drop_staged(old)
 
 
-def bucket_links(members: DataFrame, payloads: DataFrame, possible: Possible, verify: Verify) -> DataFrame:
+def first_shared(x: list[Column], y: list[Column]) -> Column:
+    """Of two nodes' buckets, listed in one order, the first that is the same; NULL if none is."""
+    return F.coalesce(*[F.when(a == b, a) for a, b in zip(x, y, strict=True)])
+
+
+def bucket_links(
+    members: DataFrame, payloads: DataFrame, possible: Possible, meeting: Possible, verify: Verify
+) -> DataFrame:
     """Verified edges (a, b), a < b, between nodes that share a bucket, enough to connect all that are linked.
 
     `members` holds distinct (node, bucket) rows and `payloads` one (node, payload) row per node; `possible` tells from two
-    payloads whether the nodes can be linked, and `verify` keeps the pairs (a, b) that are.
+    payloads whether the nodes can be linked, `meeting` which of their common buckets is the first, and `verify` keeps the
+    pairs (a, b) that are linked.
     """
     sizes = members.groupBy("bucket").agg(
         F.min("node").alias("pivot"), F.max("node").alias("last"), F.count(F.lit(1)).alias("n")
@@ -93,12 +101,18 @@ def bucket_links(members: DataFrame, payloads: DataFrame, possible: Possible, ve
     open_members = stage(placed.join(split, "bucket").where(F.col("node") != F.col("pivot")).drop("pivot"), "members")
     open_members, bare = stage(open_members.join(payloads, "node"), "members"), open_members
     outside = open_members.where(F.col("group") != F.col("largest")).select(
-        F.col("bucket").alias("x_bucket"), F.col("node").alias("x"), F.col("group").alias("x_group"), F.col("payload").alias("x_payload")
+        F.col("bucket").alias("x_bucket"),
+        F.col("node").alias("x"),
+        F.col("group").alias("x_group"),
+        F.col("payload").alias("x_payload"),
     )
     meet = (
         (F.col("x_bucket") == F.col("bucket"))
         & (F.col("x_group") != F.col("group"))
+        # Of two nodes outside the largest group, the smaller one asks.
+        & ((F.col("group") == F.col("largest")) | (F.col("x") < F.col("node")))
         & possible(F.col("x_payload"), F.col("payload"))
+        & (meeting(F.col("x_payload"), F.col("payload")) == F.col("bucket"))
     )
     across = outside.join(open_members, meet).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
     more = stage(verify(across.distinct()), "links")

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from peernet.llm.common import fresh, normal_words, stage
-from peernet.llm.groups import bucket_links, connected
+from peernet.llm.groups import bucket_links, connected, first_shared
 
 SHINGLE, BANDS, ROWS = 5, 25, 5
 SKETCH_WORDS = 32  # longs of an odd sketch
@@ -231,9 +231,12 @@ def near_duplicate_classes(
         differ = reduce(lambda a, b: a + b, map(F.bit_count, words))
         return differ <= F.floor((x["size"] + y["size"]) * F.lit(share) + F.lit(1e-9))
 
+    def meeting(x: Column, y: Column) -> Column:
+        return first_shared(*([F.get(z["bands"], i) for i in range(bands)] for z in (x, y)))
+
     # A node's first text stands for it; rows that share an id are tied together below.
-    payloads = nodes.groupBy("node").agg(F.min_by(F.struct("size", "sketch"), F.struct("h1", "h2")).alias("payload"))
-    links = bucket_links(members, payloads, possible, verify)
+    payloads = nodes.groupBy("node").agg(F.min_by(F.struct("size", "sketch", "bands"), F.struct("h1", "h2")).alias("payload"))
+    links = bucket_links(members, payloads, possible, meeting, verify)
     # Rows that share an id tie their texts' nodes together.
     texts = signed.where(F.col("doc_id").isNotNull()).select("doc_id", "h1", "h2").distinct()
     of_text = texts.join(nodes.select("h1", "h2", "node"), ["h1", "h2"])

@@ -42,5 +42,6 @@ def test_a_bucket_whose_smallest_node_is_like_no_other(spark):
     pairs = spark.createDataFrame(list(linked | {(20, 21)}), "a long, b long")
     payloads = members.select("node", (F.col("node") % 10).alias("payload")).distinct()
     refused = lambda x, y: F.abs(x - y) <= 1  # noqa: E731  true of all linked pairs
-    links = bucket_links(members, payloads, refused, lambda p: p.join(pairs, ["a", "b"]))
+    bucket = lambda x, y: F.when(F.greatest(x, y) >= 0, F.lit(1).cast("long"))
+    links = bucket_links(members, payloads, refused, bucket, lambda p: p.join(pairs, ["a", "b"]))
     assert {(r.a, r.b) for r in links.collect()} == linked | {(20, 21)}
