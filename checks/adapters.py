@@ -110,7 +110,7 @@ class Derived:
                     text("5"),
                     self.client,
                     text('["eth/67","eth/68"]'),
-                    F.concat(self.host, text(":30303")),
+                    F.when(event_id % 11 != 0, F.concat(self.host, text(":30303"))),
                 ),
                 10,
             ),
@@ -140,7 +140,7 @@ class Derived:
         orders = self.spark.read.parquet(f"{self.sf_dir}/orders.parquet")
         mined = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=minutes.cast("int"))
         return orders.select(
-            F.floor(key / 10).alias("blk_number"),
+            (F.floor(key / 10) + 1).alias("blk_number"),
             mined.alias("blk_timestamp"),
             F.concat(F.lit("0x"), _hash(key)).alias("tx_hash"),
             (key % 10).cast("int").alias("tx_index"),

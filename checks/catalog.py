@@ -15,7 +15,7 @@ from checks.adapters import CFG, Inputs
 from peernet.config import GET_TYPE, HANDSHAKE, HASH_TYPES, PEER_ADD, PEER_REMOVE, configure, ntz
 from peernet.config import shared_dir
 from peernet.functions.arrays import duplicate_indices, index_of, remove_indices
-from peernet.functions.hashing import sha256_hex
+from peernet.functions.hashing import keccak256_hex, sha256_hex
 from peernet.functions.scalars import (
     bytes_to_hex,
     div0,
@@ -41,7 +41,17 @@ from peernet.plans.mempool import fact_mempool, first_seen
 from peernet.plans.peers import dim_peers, tracker_etherscan, tracker_ethernodes
 from peernet.plans.performance import peer_performance, public_mempool_hourly, sync_lag, version_changes
 from peernet.plans.propagation import announcement_orders, fact_hash, recent_messages
-from peernet.plans.runs import PERFORMANCE, Sources, run_hourly
+from peernet.plans.runs import (
+    HASHES,
+    HOUR_KEY,
+    HOURLY,
+    PERFORMANCE,
+    SESSIONS,
+    TRANSACTIONS,
+    Sources,
+    run_analysis,
+    run_hourly,
+)
 from peernet.plans.session_hashes import minute_range, session_unique_hash
 from peernet.plans.sessions import (
     fact_peer_session,
@@ -491,6 +501,50 @@ def _remove_indices(m: Models) -> DataFrame:
     return flat(hash_messages(m.feed).select("node_id", "peer_id", "msg_timestamp", kept.alias("kept")))
 
 
+def _hourly_two_windows(m: Models) -> DataFrame:
+    """Hours up to a cut, from the sessions as they were then, and the rest from all sessions: as one build makes them."""
+    tables, (lo, hi) = m.tables(), m.bounds
+    early = sessionize(m.feed.where(F.col("msg_timestamp") <= ntz(CUT)), CFG, SINCE)
+    for sessions, first, last, whole in ((early, lo, CUT, False), (m.built_spans, CUT, hi, True)):
+        hours = hourly_performance(m.feed, sessions, m.staged, first, last, CFG, whole)
+        tables.upsert(hours, HOURLY, HOUR_KEY, "session_hour", cluster_by="peer_id")
+    return tables.read(HOURLY).select(
+        "peer_id", "node_id", "session_hour", "session_hour_start", "session_hour_end", "start_time", "end_time",
+        "is_edge_hour", "session_hour_minutes", "total_hash_count", "confirmed_distinct_tx_count",
+    )
+
+
+def _stored_hash_facts(m: Models) -> DataFrame:
+    """The analysis run's tables, written and read again."""
+    tables = m.tables()
+    tables.append(m.staged, TRANSACTIONS, cluster_by="tx_hash")
+    tables.upsert(m.built_spans, SESSIONS, ["peer_id", "start_time", "node_id"], "start_time")
+    sources = Sources(m.feed, m.transactions, m.block_header, m.ethernodes, m.etherscan, m.geo_blocks, m.country_code)
+    run_analysis(sources, tables, CFG)
+    return flat(tables.read_replaced(HASHES))
+
+
+def _geoip_hot_keys(m: Models) -> DataFrame:
+    """Every address a hot key, and about half of the rows without one."""
+    cfg = replace(CFG, hot_min_rows=1, hot_sample=1.0)
+    seen = tracker_addresses(m.feed, SINCE)
+    rows = tracker_messages(m.feed, SINCE).select(
+        "node_id", "peer_id", "msg_timestamp", F.when(F.col("peer_id") < "8", F.col("peer_ip")).alias("peer_ip")
+    )
+    return geoip_enrich(rows, "peer_ip", m.geo_blocks, cfg, seen, ["peer_id", "msg_timestamp"])
+
+
+def _node_id(m: Models) -> DataFrame:
+    """What can be told of the digests without computing them: 64 hex digits, one digest per key, a known value."""
+    ids = tracker_ethernodes(m.ethernodes, CFG).select("node_public_key", "node_id", keccak256_hex(F.lit("")).alias("of_nothing"))
+    return ids.groupBy("node_public_key").agg(
+        F.max(F.length("node_id")).alias("digits"),
+        F.bool_and(F.col("node_id").rlike("^[0-9a-f]{64}$")).alias("is_hex"),
+        F.count_distinct("node_id").alias("ids"),
+        F.max("of_nothing").alias("of_nothing"),
+    )
+
+
 def _hourly_run(m: Models) -> DataFrame:
     tables = m.tables()
     sources = Sources(
@@ -516,6 +570,8 @@ CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "session_unique_hash": lambda m: session_unique_hash(m.feed, m.built_spans, m.staged, CFG),
     "undersampled": lambda m: m.undersampled,
     "hourly_run": _hourly_run,
+    "hourly_two_windows": _hourly_two_windows,
+    "stored_hash_facts": _stored_hash_facts,
     # scans, sources, sinks
     "scan_feed": _scan_feed,
     "stg_transaction": lambda m: flat(m.staged),
@@ -546,6 +602,7 @@ CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "role_playing_join": _role_playing_join,
     "first_seen_upsert": _first_seen_upsert,
     "geoip_enrich": _geoip_enrich,
+    "geoip_hot_keys": _geoip_hot_keys,
     "sync_gap": _blocks_of_handshakes,
     "explode_hashes": _explode_hashes,
     "number_range": _number_range,
@@ -566,6 +623,7 @@ CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "sessionize": lambda m: m.sessions,
     "sessionize_incremental": _sessionize_incremental,
     "union_pad": _union_pad,
+    "undersampled_few": lambda m: undersampled_peers(m.built_hourly, m.built_sessions, CFG, k=3).drop("updated_at"),
     "undersampled_counts": lambda m: hash_counts(m.built_hourly, m.built_sessions, CFG),
     # functions
     "hex_codec": _hex_codec,
@@ -579,7 +637,7 @@ CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "array_ops": _array_ops,
     "duplicate_indices": _duplicate_indices,
     "remove_indices": _remove_indices,
-    "node_id": lambda m: tracker_ethernodes(m.ethernodes, CFG).select("node_public_key", "node_id"),
+    "node_id": _node_id,
     # increments and the ledger
     "session_watermark": lambda m: high_water(m.sessions),
     "hourly_window": _hourly_window,

@@ -37,7 +37,8 @@ feed AS (
   UNION ALL SELECT ts, node_id, peer_id, 'node_start', CAST([] AS VARCHAR[])
   FROM ec WHERE event_type = 'purchase' AND event_id % 7 = 0
   UNION ALL SELECT ts + INTERVAL 10 MILLISECONDS, node_id, peer_id, 'node_tracker',
-    [pk, '5', client, '["eth/67","eth/68"]', host || ':30303'] FROM ec WHERE event_type = 'signup'
+    [pk, '5', client, '["eth/67","eth/68"]',
+      CASE WHEN event_id % 11 <> 0 THEN host || ':30303' END] FROM ec WHERE event_type = 'signup'
   UNION ALL SELECT ts + INTERVAL 20 MILLISECONDS, node_id, peer_id, 'handshake_eth',
     [CASE WHEN k % 10 = 9 THEN '5' ELSE '1' END, 'x', '{GENESIS_HASH}', '0x' || sha256('blk' || (event_id % 100)),
      '0x' || sha256('blk' || (event_id % 100 - event_id % 3))] FROM ec WHERE event_type = 'signup'
@@ -49,7 +50,7 @@ feed AS (
     list_transform(range(0, k % 4 + 1), lambda i: '0x' || sha256(CAST((event_id * 17 + i * 7) % 500 AS VARCHAR)))
   FROM ec WHERE event_type = 'click'),
 eth_transaction AS (
-  SELECT o_orderkey // 10 AS blk_number,
+  SELECT o_orderkey // 10 + 1 AS blk_number,
     TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(o_orderkey % 500 * 80 AS INTEGER)) AS blk_timestamp,
     '0x' || sha256(CAST(o_orderkey AS VARCHAR)) AS tx_hash, CAST(o_orderkey % 10 AS INTEGER) AS tx_index,
     CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS tx_status,
@@ -376,8 +377,7 @@ QUERIES: dict[str, str] = {
     "replace_table": "SELECT node_id, first_seen, last_seen, 'etherscan' AS source FROM es",
     "append_increment": f"""SELECT CASE WHEN blk_number <= m THEN TIMESTAMP '{FIRST_RUN}' ELSE {STAMP} END AS run_timestamp,
       blk_number, substr(tx_hash, 3) AS tx_hash, tx_value
-      FROM tx, (SELECT max(blk_number) AS m FROM tx WHERE blk_timestamp + INTERVAL 1 MINUTE < TIMESTAMP '{FIRST_RUN}')
-      WHERE blk_number >= 1""",
+      FROM tx, (SELECT max(blk_number) AS m FROM tx WHERE blk_timestamp + INTERVAL 1 MINUTE < TIMESTAMP '{FIRST_RUN}')""",
     "upsert_by_key": "SELECT peer_id, node_id, start_time, end_time FROM sessions",
     "cluster_write": "SELECT peer_id, node_id, start_time, end_time FROM sessions",
     "export_csv_roundtrip": "SELECT peer_region, enode, hash_ct FROM under",
@@ -454,6 +454,16 @@ QUERIES: dict[str, str] = {
       UNION ALL SELECT node_public_key, ip, NULL, country, client_type, NULL, os, NULL, last_seen, {STAMP}, port,
       run_time_version FROM etherscan""",
     "undersampled_counts": "SELECT * FROM region_counts",
+    "undersampled_few": """SELECT peer_region, enode, hash_ct FROM region_counts
+      QUALIFY row_number() OVER (PARTITION BY peer_region ORDER BY hash_ct, enode NULLS FIRST) <= 3""",
+    "hourly_two_windows": """SELECT peer_id, node_id, session_hour, session_hour_start, session_hour_end, start_time, end_time,
+      is_edge_hour, session_hour_minutes, total_hash_count, confirmed_distinct_tx_count FROM hourly""",
+    "stored_hash_facts": "SELECT * FROM hash_facts",
+    "geoip_hot_keys": """SELECT node_id, peer_id, msg_timestamp, CASE WHEN peer_id < '8' THEN t.peer_ip END AS peer_ip,
+      CASE WHEN peer_id < '8' THEN country_code END AS peer_country_code, CASE WHEN peer_id < '8' THEN city END AS peer_city,
+      CASE WHEN peer_id < '8' THEN subdivision END AS peer_subdivision FROM trackers t LEFT JOIN places p ON t.peer_ip = p.peer_ip""",
+    "node_id": """SELECT DISTINCT node_public_key, 64 AS digits, TRUE AS is_hex, 1::BIGINT AS ids,
+      'c5d2460186f7233c927e7db2dcc703c0e500b653ca82273b7bfad8045d85a470' AS of_nothing FROM ethernodes""",
     "hex_codec": """SELECT blk_number, tx_index, CAST(octet_length(from_hex(substr(tx_hash, 3))) AS INTEGER) AS bytes,
       '0x' || lower(to_hex(from_hex(substr(tx_hash, 3)))) AS again, TRUE AS bad_is_null FROM tx""",
     "enode_concat": """SELECT peer_id, msg_timestamp, peer_public_key || '@' || peer_ip || ':' || peer_port AS enode,
@@ -508,8 +518,4 @@ def twins() -> dict[str, str]:
     found = {name: f"{prelude}\n{sql}" for name, sql in QUERIES.items()}
     found["session_unique_hash"] = prelude + _UNIQUE_HASH
     found["sessionize_incremental"] = f"WITH {INPUTS.strip()},\n{_LATE.strip()}\nSELECT * FROM sessions"
-    # The first ledger run starts at block 1, so block 0 never enters the tables.
-    found["hourly_run"] = found["hourly_run"].replace(
-        "tx AS (SELECT * FROM eth_transaction)", "tx AS (SELECT * FROM eth_transaction WHERE blk_number >= 1)"
-    )
     return found

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BinaryType
 
 Digest = Callable[[Column], Column]
 
@@ -52,43 +52,42 @@ def _permute(a: list[np.ndarray]) -> list[np.ndarray]:
     return a
 
 
-def keccak256_batch(messages: list[bytes]) -> list[str]:
-    """Hex digests of a batch; messages with the same number of blocks are permuted together."""
-    out: list[str] = [""] * len(messages)
-    groups: dict[int, list[int]] = {}
-    for i, m in enumerate(messages):
-        groups.setdefault(len(m) // _RATE + 1, []).append(i)
-    for blocks, members in groups.items():
-        padded = np.zeros((len(members), blocks * _RATE), dtype=np.uint8)
-        for row, i in enumerate(members):
-            m = messages[i]
-            padded[row, : len(m)] = np.frombuffer(m, dtype=np.uint8)
-            padded[row, len(m)] = 0x01
+def keccak256_batch(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """n x 32 bytes of digests; message i is data[ends[i]:ends[i + 1]]. Messages of equal length are done together."""
+    lengths = np.diff(ends)
+    out = np.empty((len(lengths), 32), np.uint8)
+    for length in np.unique(lengths):
+        members = np.flatnonzero(lengths == length)
+        blocks = int(length) // _RATE + 1
+        padded = np.zeros((len(members), blocks * _RATE), np.uint8)
+        padded[:, :length] = data[ends[members][:, None] + np.arange(length)]
+        padded[:, length] = 0x01
         padded[:, -1] |= 0x80
         words = padded.view("<u8").reshape(len(members), blocks, _RATE // 8)
-        state = [np.zeros(len(members), dtype=np.uint64) for _ in range(25)]
+        state = [np.zeros(len(members), np.uint64) for _ in range(25)]
         for block in range(blocks):
             for lane in range(_RATE // 8):
                 state[lane] = state[lane] ^ words[:, block, lane]
             state = _permute(state)
-        digests = np.ascontiguousarray(np.stack(state[:4], axis=1)).astype("<u8").view(np.uint8)
-        for row, i in enumerate(members):
-            out[i] = digests[row].tobytes().hex()
+        out[members] = np.stack(state[:4], axis=1).astype("<u8").view(np.uint8)
     return out
 
 
-@F.pandas_udf(StringType())
+@F.pandas_udf(BinaryType())
 def _keccak256(keys: pd.Series) -> pd.Series:
-    present = keys.notna()
+    present = keys.notna().to_numpy()
     result = pd.Series([None] * len(keys), index=keys.index, dtype=object)
     if present.any():
-        result[present] = keccak256_batch([bytes.fromhex(k) for k in keys[present]])
+        messages = keys[present]
+        ends = np.concatenate([[0], np.cumsum(messages.str.len().to_numpy(np.int64))])
+        digests = keccak256_batch(np.frombuffer(b"".join(messages), np.uint8), ends)
+        result[present] = np.frombuffer(digests.tobytes(), "V32").tolist()
     return result
 
 
 def keccak256_hex(key: Column) -> Column:
-    """Keccak-256 (original padding, not SHA3) of the bytes of a hex text, as hex."""
-    return _keccak256(key)
+    """Keccak-256 (original padding, not SHA3) of the bytes of a hex text, as hex; NULL if the text is no hex."""
+    return F.lower(F.hex(_keccak256(F.unhex(key))))
 
 
 def sha256_hex(key: Column) -> Column:

@@ -14,6 +14,8 @@ from peernet.plans.hourly import hourly_performance, hourly_window
 from peernet.plans.mempool import fact_mempool, mempool_watermark
 from peernet.plans.peers import dim_peers, tracker_etherscan, tracker_ethernodes
 from peernet.plans.performance import peer_performance
+from peernet.plans.propagation import fact_hash
+from peernet.plans.session_hashes import session_unique_hash
 from peernet.plans.sessions import fact_peer_session
 from peernet.plans.staging import TRANSACTION_TABLE, fact_transaction
 from peernet.plans.undersampled import undersampled_peers
@@ -29,6 +31,9 @@ SESSIONS = "fact_peer_session"
 HOURLY = "peer_session_performance_hourly"
 PERFORMANCE = "dim_peer_performance"
 UNDERSAMPLED = "undersampled_peers"
+HASHES = "fact_hash"
+UNIQUE_HASHES = "peer_session_unique_hash"
+HOUR_KEY = ["peer_id", "node_id", "start_time", "session_hour"]
 
 
 @dataclass(frozen=True)
@@ -63,7 +68,8 @@ def run_mempool(sources: Sources, tables: Tables, cfg: RunConfig) -> None:
     target = tables.read(MEMPOOL)
     since = mempool_watermark(target, cfg)
     known = tables.read(MEMPOOL, SCHEMAS["mempool_transaction"])
-    tables.upsert(fact_mempool(sources.feed, known, since, cfg), MEMPOOL, ["tx_hash"], "first_seen_at")
+    updates = fact_mempool(sources.feed, known, since, cfg)
+    tables.upsert(updates, MEMPOOL, ["tx_hash"], "first_seen_at", cluster_by="tx_hash")
 
 
 def run_peer_sessions(
@@ -83,17 +89,26 @@ def run_peer_sessions(
         sources.feed, sources.block_header, sources.geo_blocks, sources.country_code, peers, cfg, since, target
     )
     key = ["peer_id", "start_time"] if compat_key else ["peer_id", "start_time", "node_id"]
-    tables.upsert(updates, SESSIONS, key, "start_time")
+    tables.upsert(updates, SESSIONS, key, "start_time", cluster_by="peer_id")
 
     sessions, transactions = tables.read(SESSIONS), tables.read(TRANSACTIONS)
-    lo, hi = hourly_window(tables.read(HOURLY), sessions, transactions, cfg)
-    tables.append(
-        hourly_performance(sources.feed, sessions, transactions, lo, hi, cfg), HOURLY, cluster_by="peer_id"
-    )
+    known_hours = tables.read(HOURLY)
+    lo, hi = hourly_window(known_hours, sessions, transactions, cfg)
+    # Sessions that go on from an earlier run are made again, with what is known of their end by now.
+    hours = hourly_performance(sources.feed, sessions, transactions, lo, hi, cfg, whole=known_hours is not None)
+    tables.upsert(hours, HOURLY, HOUR_KEY, "session_hour", cluster_by="peer_id")
     performance = peer_performance(tables.read(HOURLY), sessions, tables.read(MEMPOOL), transactions, cfg)
     tables.replace(performance, PERFORMANCE, cluster_by="peer_id")
 
 
+def run_analysis(sources: Sources, tables: Tables, cfg: RunConfig) -> None:
+    """The two datasets over a fixed stretch of the feed, built anew from the stored transactions and sessions."""
+    transactions, sessions = tables.read(TRANSACTIONS), tables.read(SESSIONS)
+    tables.replace(fact_hash(sources.feed, transactions, cfg), HASHES, cluster_by="first_peer")
+    unique = session_unique_hash(sources.feed, sessions, transactions, cfg)
+    tables.replace(unique, UNIQUE_HASHES, cluster_by="peer_id")
+
+
 def run_hourly(
     sources: Sources, tables: Tables, cfg: RunConfig, digest: Digest = keccak256_hex, compat_key: bool = False
 ) -> None:
@@ -108,4 +123,5 @@ def run_undersampled(tables: Tables, cfg: RunConfig, export_dir: str, stage: str
     if not should_export(cfg, stage):
         return None
     rows = undersampled_rows(tables.read(UNDERSAMPLED), cfg)
-    return export_csv(rows, f"{export_dir}/{stage}/undersampled_peers.csv.gz")
+    # At most as many rows as regions times the rows kept of each.
+    return export_csv(rows, f"{export_dir}/{stage}/undersampled_peers.csv.gz", one_file=True)

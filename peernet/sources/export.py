@@ -1,4 +1,4 @@
-"""CSV export of small results as one gzip file."""
+"""CSV export as gzip files."""
 
 from __future__ import annotations
 
@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from peernet.config import RunConfig, ntz
 from peernet.sources.tables import _hadoop_path, delete, exists, rename
 
-MAX_BYTES = 1_000_000_000  # Fixed value: size cap of the single file.
-
+# Fixed value: the columns of the export, in their order.
 PERFORMANCE_COLUMNS = (
     "peer_id", "avg_confirmed_distinct_tx_per_minute", "avg_propogation_rate_2w", "max_propogation_rate_2w",
     "avg_propogation_rate", "max_propogation_rate", "upgraded_at", "avg_sync_lag", "avg_sync_lag_2w", "in_sync",
@@ -39,31 +38,31 @@ def performance_rows(table: DataFrame, cfg: RunConfig) -> DataFrame:
     return table.where(recent).select(*PERFORMANCE_COLUMNS)
 
 
-def export_csv(rows: DataFrame, target: str, max_bytes: int = MAX_BYTES) -> str:
-    """Write one gzip CSV file with a header (NULL as empty, '' as ""), replacing an older one.
+def export_csv(rows: DataFrame, target: str, one_file: bool = False) -> str:
+    """Write gzip CSV with a header (NULL as empty, '' as ""), replacing an older export.
 
-    The rows are written in parallel first. Only a result under the size cap is then merged into one file by one
-    task; a bigger one is refused, as the cap demands, with the parallel files left in place for use.
+    The target is a folder of part files that tasks write side by side. Only for a result of bounded size (such as k
+    rows per region), `one_file` makes the target a single file. The new export is complete before the old one goes.
     """
     spark = rows.sparkSession
-    staging = f"{target}.staging-{uuid.uuid4().hex}"
-    rows.write.option("compression", "gzip").parquet(f"{staging}/rows")
-    fs, p = _hadoop_path(spark, f"{staging}/rows")
-    if fs.getContentSummary(p).getLength() > max_bytes:
-        raise ValueError(f"export exceeds {max_bytes} bytes; its rows are in {staging}/rows")
+    staging = f"{target}.new-{uuid.uuid4().hex}"
     (
-        spark.read.parquet(f"{staging}/rows")
-        .coalesce(1)
+        (rows.coalesce(1) if one_file else rows)
         .write.option("header", True)
         .option("compression", "gzip")
         .option("nullValue", "")
         .option("emptyValue", '""')
-        .csv(f"{staging}/csv")
+        .csv(staging)
     )
-    fs, p = _hadoop_path(spark, f"{staging}/csv")
-    part = next(s.getPath().toString() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-"))
-    if exists(spark, target):
-        delete(spark, target)
-    rename(spark, part, target)
-    delete(spark, staging)
+    ready = staging
+    if one_file:
+        fs, p = _hadoop_path(spark, staging)
+        ready = next(s.getPath().toString() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-"))
+    old = f"{target}.old-{uuid.uuid4().hex}"
+    replaced = exists(spark, target)
+    if replaced:
+        rename(spark, target, old)
+    rename(spark, ready, target)
+    for left in [staging] * one_file + [old] * replaced:
+        delete(spark, left)
     return target

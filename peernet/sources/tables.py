@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -78,6 +80,13 @@ class Tables:
 
     def read(self, name: str, schema: str | None = None) -> DataFrame | None:
         """An appended or upserted table; None (or an empty frame with `schema`) before its first write."""
+        manifest = self._manifest(name)
+        if manifest is not None:
+            declared, folders = StructType.fromJson(manifest["schema"]), sorted(set(manifest["dates"].values()))
+            if not folders:
+                return self.spark.createDataFrame([], declared)
+            reader = self.spark.read.schema(declared).option("basePath", self.path(name))
+            return reader.parquet(*folders).select(*declared.names)
         if not exists(self.spark, self.path(name)):
             return None if schema is None else self.spark.createDataFrame([], schema)
         return self.spark.read.parquet(self.path(name))
@@ -85,30 +94,91 @@ class Tables:
     def append(self, df: DataFrame, name: str, cluster_by: str | None = None) -> None:
         (clustered(df, cluster_by) if cluster_by else df).write.mode("append").parquet(self.path(name))
 
-    def upsert(self, updates: DataFrame, name: str, keys: list[str], date_of: str) -> None:
+    def _manifests(self, name: str) -> list[str]:
+        fs, p = _hadoop_path(self.spark, f"{self.path(name)}/_manifest")
+        return sorted(s.getPath().toString() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+    def _manifest(self, name: str) -> dict | None:
+        """Schema, and the folder of every date, as of the last finished upsert."""
+        found = [m for m in self._manifests(name) if m.endswith(".json")]
+        if not found:
+            return None
+        fs, p = _hadoop_path(self.spark, found[-1])
+        stream = fs.open(p)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _publish(self, name: str, number: int, manifest: dict) -> None:
+        """One rename makes the new state of the table visible."""
+        target = f"{self.path(name)}/_manifest/v{number:06d}"
+        fs, p = _hadoop_path(self.spark, f"{target}.tmp")
+        stream = fs.create(p, True)
+        stream.write(bytearray(json.dumps(manifest).encode()))
+        stream.close()
+        rename(self.spark, f"{target}.tmp", f"{target}.json")
+
+    def upsert(
+        self, updates: DataFrame, name: str, keys: list[str], date_of: str, cluster_by: str | None = None
+    ) -> None:
         """Insert or replace rows by key in a table partitioned by the date of one column.
 
-        Only the dates that hold new or replaced rows are rewritten. The update is staged first: it is computed once,
-        and nothing is read from a folder while it is overwritten.
+        Only the dates that hold new or replaced rows are written again, beside the old ones, in the order of
+        `cluster_by` (the first key by default); then a new manifest, which names the folder of each date, takes their
+        place at once. A reader sees the table before or after, and a stop in between changes nothing. The update is
+        staged first: it is computed once. Folders that neither the new nor the last manifest names are dropped.
         """
         staging = f"{self.root}/_staging/{name}-{uuid.uuid4().hex}"
-        updates.withColumn("_date", F.to_date(date_of)).write.parquet(f"{staging}/updates")
-        new = self.spark.read.parquet(f"{staging}/updates")
-        current = self.read(name)
-        if current is None:
-            new.write.partitionBy("_date").parquet(self.path(name))
-            return
-        same = reduce(lambda a, b: a & b, [current[k].eqNullSafe(new[k]) for k in keys])
-        replaced = current.join(new.select(*keys), same, "left_semi").select("_date")
-        dates = [r[0] for r in new.select("_date").union(replaced).distinct().collect()]  # one row per touched day
-        kept = current.where(F.col("_date").isin(dates) | (F.col("_date").isNull() if None in dates else F.lit(False)))
-        merged = kept.join(new.select(*keys), reduce(lambda a, b: a & b, [kept[k].eqNullSafe(new[k]) for k in keys]),
-                           "left_anti").unionByName(new)
-        merged.write.partitionBy("_date").parquet(f"{staging}/merged")
-        after = self.spark.read.parquet(f"{staging}/merged").select(*current.columns)
-        after.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_date").parquet(
-            self.path(name)
-        )
-        left = {r[0] for r in after.select("_date").distinct().collect()}
-        for day in set(dates) - left:
-            delete(self.spark, f"{self.path(name)}/_date={day or '__HIVE_DEFAULT_PARTITION__'}")
+        try:
+            self._upsert(updates, name, keys, date_of, cluster_by or keys[0], staging)
+        finally:
+            delete(self.spark, staging)
+
+    def _upsert(
+        self, updates: DataFrame, name: str, keys: list[str], date_of: str, cluster_by: str, staging: str
+    ) -> None:
+        dated = updates.withColumn("_date", F.to_date(date_of))
+        dated.write.parquet(staging)
+        new = self.spark.read.schema(dated.schema).parquet(staging)
+        last, current = self._manifest(name), self.read(name)
+        dates = {r[0] for r in new.select("_date").distinct().collect()}  # one row per touched day
+        folders = {} if last is None else dict(last["dates"])
+        merged = new
+        if current is not None and folders:
+
+            def same(rows: DataFrame):
+                return reduce(lambda a, b: a & b, [rows[k].eqNullSafe(new[k]) for k in keys])
+
+            if date_of not in keys:  # else a replaced row has the date of the new one
+                replaced = current.join(new.select(*keys), same(current), "left_semi").select("_date")
+                dates |= {r[0] for r in replaced.distinct().collect()}
+            unknown = F.col("_date").isNull() if None in dates else F.lit(False)
+            kept = current.where(F.col("_date").isin([d for d in dates if d is not None]) | unknown)
+            merged = kept.join(new.select(*keys), same(kept), "left_anti").unionByName(new)
+        number = 1 + max([int(m.rsplit("/v", 1)[1].split(".")[0]) for m in self._manifests(name)], default=0)
+        target = f"{self.path(name)}/_v={number:06d}-{uuid.uuid4().hex[:8]}"
+        row_print = F.xxhash64(*merged.columns)
+        # Sorted by date first, so that a task writes a file for each of a few dates.
+        ordered = merged.repartitionByRange("_date", cluster_by, row_print).sortWithinPartitions("_date", cluster_by)
+        ordered.write.partitionBy("_date").parquet(target)
+        for day in dates:
+            folders.pop(str(day), None)
+        fs, p = _hadoop_path(self.spark, target)
+        for status in fs.listStatus(p):
+            folder = status.getPath().getName()
+            if folder.startswith("_date="):
+                day = folder.removeprefix("_date=")
+                folders["None" if day == "__HIVE_DEFAULT_PARTITION__" else day] = status.getPath().toString()
+        self._publish(name, number, {"schema": merged.schema.jsonValue(), "dates": folders})
+        self._drop_unused(name, [last["dates"] if last else {}, folders])
+
+    def _drop_unused(self, name: str, manifests: list[dict[str, str]]) -> None:
+        used = {f.rsplit("/_date=", 1)[0].rsplit("/", 1)[1] for dates in manifests for f in dates.values()}
+        fs, p = _hadoop_path(self.spark, self.path(name))
+        for status in fs.listStatus(p):
+            folder = status.getPath().getName()
+            if folder.startswith("_v=") and folder not in used:
+                delete(self.spark, status.getPath().toString())
+        for old in self._manifests(name)[:-2]:
+            delete(self.spark, old)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from pyspark.errors import PySparkException
+import numpy as np
 from pyspark.sql import functions as F
 
 from peernet.functions import scalars as s
@@ -92,11 +93,13 @@ def test_arrays(spark):
 
 def test_keccak(spark):
     # Published vectors of the original Keccak-256.
-    assert keccak256_batch([b"", b"abc", b"\0" * 64]) == [
+    data = np.frombuffer(b"abc" + bytes(64), np.uint8)
+    assert [d.tobytes().hex() for d in keccak256_batch(data, np.array([0, 0, 3, 67]))] == [
         "c5d2460186f7233c927e7db2dcc703c0e500b653ca82273b7bfad8045d85a470",
         "4e03657aea45a94fc7d47ba826c8d667c0d1e6e33a64a036ec44f58fa12d6c45",
         "ad3228b676f7d3cd4284a5443f17f1962b36e491b30a40b2405849e597ba5fb5",
     ]
-    df = spark.createDataFrame([("00" * 64,), (None,), ("",)], "k string").select(keccak256_hex(F.col("k")))
+    df = spark.createDataFrame([("00" * 64,), (None,), ("",), ("xy",)], "k string").select(keccak256_hex(F.col("k")))
     found = [r[0] for r in df.collect()]
     assert found[0].startswith("ad3228b6") and found[1] is None and found[2].startswith("c5d24601")
+    assert found[3] is None and len(found[0]) == 64

@@ -5,11 +5,18 @@ from __future__ import annotations
 import ipaddress
 import random
 from dataclasses import replace
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
 from peernet.operators.geo import block_pieces, geoip_enrich, locate
-from peernet.operators.intervals import hour_slices, hourly_keys, points_in_hour_slices, points_in_intervals
+from peernet.operators.intervals import (
+    hour_slices,
+    hourly_keys,
+    points_in_hour_slices,
+    points_in_intervals,
+    slices_from,
+)
 from peernet.operators.skew import hot_keys, salted_join
 from tests.util import at, plan_of, rows
 
@@ -66,6 +73,35 @@ def test_open_session_is_cut_after_twelve_hours(spark):
     assert hour_slices(sessions, None, "2024-01-11 00:00:00").count() == 0
 
 
+def test_long_sessions_keep_every_hour(spark):
+    sessions = spark.createDataFrame([("p", "n", at("00:30"), at("00:30") + timedelta(hours=1440))], SPAN)
+    assert hour_slices(sessions, "2024-01-01 00:00:00", "2024-06-01 00:00:00").count() == 1441
+    assert hour_slices(sessions, "2024-02-01 00:00:00", "2024-02-02 00:00:00").count() == 24
+
+
+def test_sessions_across_a_cut_are_made_whole(spark):
+    cut = "2024-01-11 00:00:00"
+    closed = [("p", "n", at("12:30"), at("12:30") + timedelta(hours=47)), ("q", "n", at("01:00"), at("02:00"))]
+    early = spark.createDataFrame([(*closed[0][:3], None), closed[1]], SPAN)
+    final = spark.createDataFrame(closed, SPAN)
+    assert slices_from(final, cut, "2024-01-14 00:00:00") == "2024-01-10 12:00:00"
+    before = hour_slices(early, "2024-01-10 00:00:00", cut)
+    after = hour_slices(final, cut, "2024-01-14 00:00:00", whole=True)
+    key = ["peer_id", "session_hour"]
+    both = before.join(after, key, "left_anti").unionByName(after)
+    assert rows(both) == rows(hour_slices(final, "2024-01-10 00:00:00", "2024-01-14 00:00:00").select(*both.columns))
+    assert after.count() == 48
+
+
+def test_null_keys_are_spread(spark):
+    big = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), "id")
+    small = spark.range(4000).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
+    joined = salted_join(big.repartition(4), small.hint("merge"), ["k"], "left", {}, ["id"])
+    assert joined.count() == 4000 and joined.where("v = 2 * k").count() == 2000
+    unknown = joined.where("k is null").groupBy(F.spark_partition_id()).count().collect()
+    assert len(unknown) > 1
+
+
 def test_zero_minute_slice_stays(spark):
     sessions = spark.createDataFrame([("p", "n", at("01:30:10"), at("01:30:40"))], SPAN)
     assert rows(hour_slices(sessions, "2024-01-10 00:00:00", "2024-01-11 00:00:00"), "session_hour_minutes") == [(0,)]
@@ -106,11 +142,11 @@ def test_salted_join_is_exact(spark, cfg):
 
 
 def test_hot_keys_stay_few(spark, cfg):
-    few = replace(cfg, hot_limit=10, hot_min_rows=1, hot_sample=1.0)
+    few = replace(cfg, hot_limit=10, hot_min_rows=100, hot_sample=1.0)
     spread = spark.range(1000).select((F.col("id") % 500).alias("k"))
     assert hot_keys(spread, ["k"], few) == {}
     skewed = spread.unionByName(spark.range(900).select(F.lit(-1).cast("bigint").alias("k")))
-    assert len(hot_keys(skewed, ["k"], few)) == 1
+    assert list(hot_keys(skewed, ["k"], few).values()) == [10]  # pieces of about 100 rows, however many rows there are
     assert len(hot_keys(skewed, ["k"], replace(few, hot_sample=0.3))) == 1
 
 

@@ -44,17 +44,17 @@ def test_two_runs_equal_one(spark, cfg, sf_dir, tmp_path):
 
     assert same(runs.TRANSACTIONS, "tx_hash", "blk_number") > 0
     assert same(runs.MEMPOOL, "tx_hash", "first_seen_at") > 0
-    # What a peer told at the start of a session that stays open past the 14 hour look-back is not found again, so
-    # only the sessions themselves and the crawler columns agree.
-    assert same(runs.SESSIONS, "peer_id", "node_id", "start_time", "end_time", "etherscan_ip") > 0
+    # A duration that is reported after a node start has closed the session comes too late for a later run.
+    columns = [c for c in once.read(runs.SESSIONS).columns if c not in ("updated_at", "session_duration")]
+    assert same(runs.SESSIONS, *columns) > 0
     ledger = twice.read_replaced(runs.LEDGER)
     assert rows(ledger, "run_completed") == [(True,), (True,)]
-    # No hour is computed twice, and the second run goes on where the first one stopped.
-    hours = twice.read(runs.HOURLY).groupBy("update_start_time").agg(F.min("session_hour"), F.max("session_hour"))
-    (_, _, first_end), (second_start, second_min, _) = rows(hours)
-    assert second_min >= second_start > first_end
-    key = ["peer_id", "node_id", "start_time", "session_hour"]
-    assert twice.read(runs.HOURLY).groupBy(*key).count().where("count > 1").count() == 0
+    # The second run goes on where the first one stopped, and makes the hours of sessions that go on again.
+    extent = ["session_hour_start", "session_hour_end", "end_time", "is_edge_hour", "session_hour_minutes"]
+    assert same(runs.HOURLY, *runs.HOUR_KEY, *extent, "total_hash_count") > 0
+    starts = rows(twice.read(runs.HOURLY).groupBy("update_start_time", "update_end_time").count())
+    assert len(starts) == 2
+    assert twice.read(runs.HOURLY).groupBy(*runs.HOUR_KEY).count().where("count > 1").count() == 0
 
     assert runs.run_undersampled(twice, replace(cfg, environment="dev"), f"file:{tmp_path}/out") is None
     target = runs.run_undersampled(twice, cfg, f"file:{tmp_path}/out")

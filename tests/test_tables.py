@@ -60,6 +60,35 @@ def test_upsert_moves_rows_between_dates(spark, tables):
     assert rows(tables.read("t").where("k is null"), "t", "v") == [(at(day), 4)]
 
 
+def test_upsert_survives_an_empty_start_and_leaves_no_staging(spark, tables, tmp_path):
+    empty = spark.createDataFrame([], "k string, t timestamp_ntz, v int")
+    tables.upsert(empty, "t", ["k"], "t")
+    assert tables.read("t").count() == 0
+    tables.upsert(empty, "t", ["k"], "t")
+    rows_of = lambda *data: spark.createDataFrame(list(data), empty.schema)
+    tables.upsert(rows_of(("a", at(0), 1)), "t", ["k"], "t")
+    tables.upsert(empty, "t", ["k"], "t")
+    assert rows(tables.read("t"), "k", "v") == [("a", 1)]
+    tables.upsert(rows_of(("a", at(86400), 2)), "t", ["k"], "t")
+    assert rows(tables.read("t"), "k", "t", "v") == [("a", at(86400), 2)]
+    assert not list(Path(f"{tmp_path}/_staging").glob("*"))
+    assert len(list(Path(f"{tmp_path}/t").glob("_v=*"))) <= 2
+    # A write that no manifest names is not seen.
+    rows_of(("z", at(0), 9)).write.parquet(f"file:{tmp_path}/t/_v=zzz/_date=2024-01-10")
+    assert rows(tables.read("t"), "k") == [("a",)]
+
+
+def test_upsert_by_a_dated_key_reads_the_touched_dates(spark, tables):
+    day = 86400
+    batch = lambda *data: spark.createDataFrame(list(data), "k string, t timestamp_ntz, v int")
+    tables.upsert(batch(*[("a", at(i * day), i) for i in range(5)]), "t", ["k", "t"], "t")
+    files = {i: set(tables.read("t").where(F.col("v") == i).inputFiles()) for i in range(5)}
+    tables.upsert(batch(("a", at(2 * day), 7)), "t", ["k", "t"], "t")
+    after = set(tables.read("t").inputFiles())
+    kept = [i for i in range(5) if {f for f in files[i] if f"_date=2024-01-{10 + i}" in f} <= after]
+    assert kept == [0, 1, 3, 4]
+
+
 def test_clustered_files_have_narrow_ranges(spark, tables):
     df = spark.range(4000).select((F.col("id") * 7919 % 4000).alias("k"))
     tables.replace(df, "t", cluster_by="k")
@@ -96,14 +125,17 @@ def test_freshness(spark, cfg, newest, status):
 
 def test_export_text(spark, tmp_path):
     df = spark.createDataFrame([(1, None, "a"), (2, "", "x,y"), (3, 'q"q', "z")], "id int, a string, b string")
-    target = export_csv(df.orderBy("id"), f"{tmp_path}/out/t.csv.gz")
+    target = export_csv(df.orderBy("id"), f"{tmp_path}/out/t.csv.gz", one_file=True)
     assert gzip.decompress(Path(target).read_bytes()).decode() == (
         'id,a,b\n1,,a\n2,"","x,y"\n3,"q\\"q",z\n'
     )
-    export_csv(df.where("id = 1"), target)
+    export_csv(df.where("id = 1"), target, one_file=True)
     assert gzip.decompress(Path(target).read_bytes()).decode() == "id,a,b\n1,,a\n"
-    with pytest.raises(ValueError, match="exceeds"):
-        export_csv(df, f"{tmp_path}/out/big.csv.gz", max_bytes=10)
+    parts = export_csv(df.repartition(3), f"{tmp_path}/out/parts")
+    parts = export_csv(df.repartition(2), parts)
+    assert len(list(Path(parts).glob("part-*.csv.gz"))) == 2
+    assert spark.read.csv(parts, header=True).count() == 3
+    assert sorted(p.name for p in Path(f"{tmp_path}/out").iterdir() if not p.name.startswith(".")) == ["parts", "t.csv.gz"]
 
 
 def test_export_guards(cfg):
