@@ -26,7 +26,7 @@ def hot_keys(rows: DataFrame, keys: list[str], cfg: RunConfig) -> HotKeys:
         rows = rows.sample(cfg.hot_sample, seed=1)
     top = F.call_function("approx_top_k", F.xxhash64(*keys), F.lit(cfg.hot_limit), F.lit(10 * cfg.hot_limit))
     seen = rows.agg(top.alias("top"))
-    piece = F.lit(cfg.hot_min_rows * cfg.hot_sample)
+    piece = F.lit(max(cfg.hot_min_rows * cfg.hot_sample, 1.0))
     hot = (
         seen.select(F.inline("top").alias("key_print", "ct"))
         .where(F.col("ct") > piece)

@@ -150,16 +150,21 @@ def test_session_hashes(spark, any_cfg):
     ]
 
 
-def test_first_seen_drops_late_rows(spark, cfg):
+def test_late_announcements_count_for_a_while(spark, cfg):
     early = feed(spark, [("10:00", "n", P, "new_hash", [H1]), ("10:05", "n", P, "new_hash", [H1, H2])])
     empty = spark.createDataFrame([], SCHEMAS["mempool_transaction"])
     target = fact_mempool(early, empty, cfg.initial_bound, cfg)
     assert rows(target, "tx_hash", "first_seen_at") == [(H1, at("10:00")), (H2, at("10:05"))]
+    late = early.unionByName(
+        feed(spark, [("09:00", "n", P, "new_hash", ["0x33"]), ("09:30", "n", P, "new_hash", [H2]), ("11:00", "n", P, "new_hash", ["0x44"])])
+    )
     since = mempool_watermark(target, cfg)
-    assert since == "2024-01-10 10:05:00"
-    late = early.unionByName(feed(spark, [("09:00", "n", P, "new_hash", ["0x33"]), ("11:00", "n", P, "new_hash", ["0x44"])]))
-    assert rows(fact_mempool(late, target, since, cfg), "tx_hash") == [("0x44",)]
-    assert mempool_watermark(empty, cfg) is None
+    assert since == "2024-01-09 20:05:00"
+    assert rows(fact_mempool(late, target, since, cfg), "tx_hash") == sorted([("0x33",), ("0x44",), (H2,)], key=repr)
+    strict = mempool_watermark(target, replace(cfg, late_hours=0))
+    assert strict == "2024-01-10 10:05:00"
+    assert rows(fact_mempool(late, target, strict, cfg), "tx_hash") == [("0x44",)]
+    assert mempool_watermark(empty, cfg) == cfg.initial_bound
     assert first_seen(late, None).count() == 0
 
 
