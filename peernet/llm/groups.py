@@ -69,7 +69,7 @@ def bucket_links(
 ) -> DataFrame:
     """Verified edges (a, b), a < b, between nodes that share a bucket, enough to connect all that are linked.
 
-    `members` holds distinct (node, bucket) rows and `payloads` one (node, payload) row per node; `possible` tells from two
+    `members` holds (node, bucket) rows and `payloads` one (node, payload) row per node; `possible` tells from two
     payloads whether the nodes can be linked, `meeting` which of their common buckets is the first, and `verify` keeps the
     pairs (a, b) that are linked.
     """

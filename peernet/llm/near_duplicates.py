@@ -212,7 +212,7 @@ def near_duplicate_classes(
         ),
         "nodes",
     )
-    members = nodes.select("node", F.explode("bands").alias("bucket")).distinct()
+    members = nodes.select("node", F.explode("bands").alias("bucket"))
     cells = signed.select(F.col("doc_id").alias("node"), "cells").where(F.size("cells") > 0)
 
     def verify(pairs: DataFrame) -> DataFrame:
