@@ -15,7 +15,7 @@ from peernet.llm.licenses import scan_licenses
 from peernet.llm.line_dedup import drop_repeated_lines
 from peernet.llm.near_duplicates import near_duplicate_classes
 from peernet.llm.packing import measured, pack_documents
-from peernet.llm.subwords import decoded, sampled_ids
+from peernet.llm.subwords import sampled_ids
 from peernet.llm.token_files import read_documents, write_token_files
 from peernet.llm.topk import exact_top_k, fixed_point
 from peernet.llm.warc import RFC_DIGITS, read_records, write_archives
@@ -47,12 +47,9 @@ def op5_subwords(spark: SparkSession, sf_dir: str, model: str | None = None) ->
 
     path = model or public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ids = docs.withColumn("ids", sampled_ids(F.col("doc_id"), F.col("text"), path))
-    return ids.select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
-        F.crc32("ids").alias("ids_crc32"),
-        (decoded(F.col("ids"), path) == F.col("text")).alias("lossless"),
+    found = docs.select("doc_id", sampled_ids(F.col("doc_id"), F.col("text"), path).alias("found"))
+    return found.select("doc_id", F.col("found.ids").alias("ids"), F.col("found.lossless").alias("lossless")).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), "lossless"
     )
 
 

@@ -132,7 +132,7 @@ class Growing:
 class Sampler:
     """Draws segmentations; keeps the filtered lattices of chunks that come again, up to a number of edges."""
 
-    def __init__(self, path: str, sharpness: float = 1.0, max_edges: int = 8_000_000):
+    def __init__(self, path: str, sharpness: float = 1.0, max_edges: int = 3_000_000):
         self.vocabulary = Vocabulary(path)
         self.max_edges = max_edges
         pieces = sorted(self.vocabulary.pieces.values())
@@ -284,7 +284,7 @@ def _sampler(path: str, sharpness: float) -> Sampler:
     return Sampler(path, sharpness)
 
 
-def _some(texts: list, most: int = 1 << 20) -> Iterator[slice]:
+def _some(texts: list, most: int = 1 << 19) -> Iterator[slice]:
     """Slices of about `most` characters."""
     start = size = 0
     for i, text in enumerate(texts):
@@ -297,17 +297,19 @@ def _some(texts: list, most: int = 1 << 20) -> Iterator[slice]:
 
 
 def sampled_ids(key: Column, text: Column, model: str, sharpness: float = 1.0) -> Column:
-    """Column of the sampled ids of `text`, as little-endian unsigned 32-bit integers. `model` is a path in every task."""
+    """Column (ids binary, lossless boolean) of `text`: the sampled ids as little-endian unsigned 32-bit integers, and
+    whether they decode to the text. `model` is a path in every task."""
 
-    @F.pandas_udf("binary")
-    def encode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.pandas_udf("ids binary, lossless boolean")
+    def encode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         sampler = _sampler(model, sharpness)
         for keys, texts in batches:
             keys, texts, out = keys.tolist(), texts.tolist(), []
             for part in _some(texts):
                 found = sampler.encode(keys[part], texts[part])
-                out += [ids.astype("<u4", copy=False).tobytes() for ids in found]
-            yield pd.Series(out, dtype=object)
+                for ids, own in zip(found, texts[part], strict=True):
+                    out.append((ids.astype("<u4", copy=False).tobytes(), sampler.decode(ids) == (own or "")))
+            yield pd.DataFrame(out, columns=["ids", "lossless"])
 
     return encode(F.coalesce(key.cast("long"), F.lit(0)), text)
 

@@ -77,8 +77,10 @@ def test_a_full_cache_changes_nothing():
 def test_columns(spark):
     rows = [(1, "the word", "x"), (1, "the word", "x"), (None, "other", "y"), (2, None, "z"), (3, "", "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
-    out = docs.withColumn("found", sampled_ids(F.col("doc_id"), F.col("text"), MODEL))
-    out = out.withColumn("back", decoded(F.col("found"), MODEL))
+    out = docs.withColumn("both", sampled_ids(F.col("doc_id"), F.col("text"), MODEL))
+    out = out.withColumn("found", F.col("both.ids")).withColumn("back", decoded(F.col("found"), MODEL))
+    assert out.where("both.lossless").count() == 5
+    out = out.drop("both")
     got = sorted((tuple(r) for r in out.collect()), key=repr)
     assert [r[:3] for r in got] == sorted(rows, key=repr)
     assert all(r[4] == (r[1] or "") for r in got)
