@@ -205,10 +205,10 @@ def _encoder(path: str) -> CachedEncoder:
 
 MANIFEST = "part long, file string, docs long, ids long"
 MANIFEST_ARROW = pa.schema([("part", pa.int64()), ("file", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())])
-DOCS = "part long, doc_id long, file_start long, n_tokens long, ids_crc32 long"
+DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 DOCS_ARROW = pa.schema(
-    [("part", pa.int64()), ("doc_id", pa.int64()), ("file_start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
-)
+    [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
+)
 
 
 def write_token_files(
@@ -270,7 +270,7 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     n = crc = 0
                     for ids in pieces:
                         n, crc = n + len(ids), zlib.crc32(ids.astype("<u4").tobytes(), crc)
-                    rows.append((entry["part"], doc_id, start, n, crc))
+                    rows.append((doc_id, entry["start"] + start, n, crc))
                     if len(rows) == 10_000:
                         yield _table(rows, DOCS_ARROW)
                         rows = []
@@ -279,9 +279,4 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_documents(manifest: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the files."""
-    files = manifest.select("part", "file").repartition("part")
-    decoded = files.mapInArrow(_read, DOCS)
-    starts = manifest.select(F.col("part"), F.col("start").alias("part_start"))
-    return decoded.join(starts, "part").select(
-        "doc_id", (F.col("part_start") + F.col("file_start")).alias("start"), "n_tokens", "ids_crc32"
-    )
+    return manifest.select("part", "file", "start").repartition("part").mapInArrow(_read, DOCS)
