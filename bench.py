@@ -15,6 +15,7 @@ import time
 from pyspark.sql import SparkSession
 
 from checks.catalog import run
+from peernet.config import clear_shared_dir
 
 HEADLINE = [
     "fact_transaction",
@@ -61,6 +62,7 @@ def main() -> None:
     total = round(sum(seconds.values()), 3)
     scale = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": seconds, "sf": scale}))
+    clear_shared_dir(spark)
     spark.stop()
 
 

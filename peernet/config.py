@@ -62,10 +62,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def named_shared_dir(spark: SparkSession) -> str | None:
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, for staged tables: the one named in spark.checkpoint.dir.
 
-    Where that is unset, as in tests, a folder under the warehouse; the session's settings stay as they are.
+    Where that is unset, as in tests, the application's own folder under the warehouse; `clear_shared_dir` deletes it. The
+    session's settings stay as they are.
     """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged").rstrip("/")
+    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged/{spark.sparkContext.applicationId}"
+    return (named_shared_dir(spark) or own).rstrip("/")
+
+
+def clear_shared_dir(spark: SparkSession) -> None:
+    """Delete the application's own staging folder at its end; a named folder is left to its owner."""
+    if named_shared_dir(spark) is None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import SparkSession
 
 from peernet import RunConfig
-from peernet.config import configure
+from peernet.config import clear_shared_dir, configure
 
 
 @pytest.fixture(scope="session")
@@ -21,7 +21,8 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
-    return configure(session)
+    yield configure(session)
+    clear_shared_dir(session)
 
 
 @pytest.fixture(scope="session")
