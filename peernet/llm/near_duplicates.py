@@ -35,7 +35,7 @@ from peernet.llm.groups import bucket_links, connected, first_shared
 
 SHINGLE, BANDS, ROWS = 5, 25, 5
 SKETCH_WORDS = 32  # longs of an odd sketch
-BATCH_WORDS = 1 << 20
+BATCH_WORDS, BATCH_TEXTS = 1 << 17, 400  # signed at once; darts take memory by texts as well as by words
 
 _GOLD, _M1, _M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _BASE, _INVERSE = 0x100000001B3, pow(0x100000001B3, -1, 1 << 64)
@@ -150,7 +150,7 @@ def _signed(bands: int, rows: int):
             i = 0
             while i < len(texts):
                 j, size = i, 0
-                while j < len(texts) and (j == i or size + len(texts[j]) <= 6 * BATCH_WORDS):
+                while j < len(texts) and (j == i or (j - i < BATCH_TEXTS and size + len(texts[j]) <= 6 * BATCH_WORDS)):
                     size, j = size + len(texts[j]), j + 1
                 with np.errstate(over="ignore"):
                     cells, owner = shingle_cells(texts[i:j])
