@@ -63,7 +63,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = No
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each text: its number of lines and its SHA-256."""
-    left = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), max_distance=None)
+    left = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), max_distance=None, exact_words=1)
     return left.select("doc_id", F.size(F.split("text", "\n")).alias("n_lines"), F.sha2("text", 256).alias("text_sha256"))
 
 
