@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peernet.llm.common import scratch, table
+from peernet.llm.clusters import cluster_vectors
+from peernet.llm.clusters import oracle as cluster_oracle
 from peernet.llm.fingerprints import fingerprint_documents
 from peernet.llm.language import identify
 from peernet.llm.licenses import oracle as license_oracle
@@ -15,6 +17,10 @@ from peernet.llm.licenses import scan_licenses
 from peernet.llm.line_dedup import drop_repeated_lines
 from peernet.llm.near_duplicates import near_duplicate_classes
 from peernet.llm.packing import measured, pack_documents
+from peernet.llm.prefix_trie import oracle as trie_oracle
+from peernet.llm.prefix_trie import prefix_trie
+from peernet.llm.quality import judge_quality
+from peernet.llm.quality import oracle as quality_oracle
 from peernet.llm.subwords import sampled_ids
 from peernet.llm.token_files import read_documents, write_token_files
 from peernet.llm.topk import exact_top_k, fixed_point
@@ -79,6 +85,19 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("places")
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents")).drop("rejected_by", "n_tests")
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", fixed_point(F.col("embedding"), 64).alias("v"))
+    return cluster_vectors(vectors, "vec_id", "v", k=16, rounds=3, dimension=64)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_language": op2_language,
@@ -90,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_fingerprints": op9_fingerprints,
     "op10_licenses": op10_licenses,
+    "op11_quality": op11_quality,
+    "op12_clusters": op12_clusters,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -112,4 +134,7 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DO
      r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
     "op10_licenses": license_oracle(),
+    "op11_quality": quality_oracle(),
+    "op12_clusters": cluster_oracle(),
+    "op13_prefix_trie": trie_oracle(),
 }
