@@ -224,6 +224,7 @@ class Derived:
     def run_ledger(self) -> DataFrame:
         """A past run per 100 blocks; of every seven, the last did not complete. The last run is never complete."""
         run = F.floor(F.col("blk_number") / 100)
+        last = self.eth_transaction.agg(F.max(run)).scalar()
         return (
             self.eth_transaction.groupBy(run.alias("r"))
             .agg(F.min("blk_number").alias("lo"), F.max("blk_number").alias("hi"))
@@ -233,7 +234,7 @@ class Derived:
                 ).alias("run_timestamp"),
                 F.lit("ethereum").alias("blockchain"),
                 F.lit("FACT_TRANSACTION__TX_HASH").alias("incremental_table"),
-                (F.col("r") % 7 != 0).alias("run_completed"),
+                ((F.col("r") % 7 != 0) & (F.col("r") != last)).alias("run_completed"),
                 F.col("lo").alias("run_start_blk_number"),
                 F.col("hi").alias("run_stop_blk_number"),
             )

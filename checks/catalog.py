@@ -43,7 +43,6 @@ from peernet.plans.performance import peer_performance, public_mempool_hourly, s
 from peernet.plans.propagation import announcement_orders, fact_hash, recent_messages
 from peernet.plans.runs import (
     HASHES,
-    HOUR_KEY,
     HOURLY,
     PERFORMANCE,
     SESSIONS,
@@ -51,6 +50,7 @@ from peernet.plans.runs import (
     Sources,
     run_analysis,
     run_hourly,
+    update_hours,
 )
 from peernet.plans.session_hashes import minute_range, session_unique_hash
 from peernet.plans.sessions import (
@@ -505,9 +505,10 @@ def _hourly_two_windows(m: Models) -> DataFrame:
     """Hours up to a cut, from the sessions as they were then, and the rest from all sessions: as one build makes them."""
     tables, (lo, hi) = m.tables(), m.bounds
     early = sessionize(m.feed.where(F.col("msg_timestamp") <= ntz(CUT)), CFG, SINCE)
-    for sessions, first, last, whole in ((early, lo, CUT, False), (m.built_spans, CUT, hi, True)):
-        hours = hourly_performance(m.feed, sessions, m.staged, first, last, CFG, whole)
-        tables.upsert(hours, HOURLY, HOUR_KEY, "session_hour", cluster_by="peer_id")
+    update_hours(m.feed, early, m.staged, tables, lo, CUT, CFG)
+    # The second window sees no message before the cut: the hours before it come from what is stored.
+    late = m.feed.where(F.col("msg_timestamp") >= ntz(CUT))
+    update_hours(late, m.built_spans, m.staged, tables, CUT, hi, CFG)
     return tables.read(HOURLY).select(
         "peer_id", "node_id", "session_hour", "session_hour_start", "session_hour_end", "start_time", "end_time",
         "is_edge_hour", "session_hour_minutes", "total_hash_count", "confirmed_distinct_tx_count",

@@ -80,7 +80,7 @@ geo_blocks AS (
 country_code(country_code, country_name, region) AS (VALUES {_COUNTRY_ROWS}),
 ledger AS (
   SELECT TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(r AS INTEGER)) AS run_timestamp, 'ethereum' AS blockchain,
-    'FACT_TRANSACTION__TX_HASH' AS incremental_table, r % 7 <> 0 AS run_completed,
+    'FACT_TRANSACTION__TX_HASH' AS incremental_table, r % 7 <> 0 AND r <> max(r) OVER () AS run_completed,
     lo AS run_start_blk_number, hi AS run_stop_blk_number
   FROM (SELECT blk_number // 100 AS r, min(blk_number) AS lo, max(blk_number) AS hi FROM eth_transaction GROUP BY 1))
 """

@@ -65,18 +65,22 @@ def hour_slices(sessions: DataFrame, lo: str | None, hi: str | None, whole: bool
     )
 
 
-def points_in_hour_slices(points: DataFrame, slices: DataFrame, hot: HotKeys) -> DataFrame:
-    """Points of (peer_id, node_id, msg_timestamp) matched to hour slices, both slice ends included.
-
-    A slice lies inside one hour, so the hour joins as an equal key. Its closed end may be the next full hour: a point
-    exactly on the hour therefore also enters the hour before.
-    """
+def in_closed_hours(points: DataFrame) -> DataFrame:
+    """Points with every `session_hour` whose closed hour holds them: one exactly on the hour is also in the hour before."""
     hour = time_bucket("hour", F.col("msg_timestamp"))
     hours = F.when(
         F.col("msg_timestamp") == hour, F.array(hour, hour - F.expr("interval 1 hour"))
     ).otherwise(F.array(hour))
+    return points.withColumn("session_hour", F.explode(hours))
+
+
+def points_in_hour_slices(points: DataFrame, slices: DataFrame, hot: HotKeys) -> DataFrame:
+    """Points of (peer_id, node_id, msg_timestamp) matched to hour slices, both slice ends included.
+
+    A slice lies inside one hour, so the hour joins as an equal key.
+    """
     return salted_join(
-        points.withColumn("session_hour", F.explode(hours)),
+        in_closed_hours(points),
         slices.hint("merge"),
         ["peer_id", "node_id", "session_hour"],
         "inner",

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from peernet.config import RunConfig, ntz
 from peernet.functions.scalars import div0, minutes_crossed, null_greatest, null_least, time_bucket
 from peernet.operators.confirmation import explode_hashes, hash_messages, preconfirmation_join
-from peernet.operators.intervals import hour_slices, hourly_keys, points_in_hour_slices, slices_from
+from peernet.operators.intervals import hour_slices, hourly_keys, in_closed_hours, points_in_hour_slices, slices_from
 from peernet.operators.skew import hot_keys
 
 # A slice is determined by these; its other columns are derived again after the aggregation, to shuffle less.
 SLICE = ["peer_id", "node_id", "session_hour", "start_time", "end_time"]
+CELL, COUNTS = SLICE[:3], ["total_hash_count", "confirmed_distinct_tx_count"]
 
 
 def hourly_bounds(sessions: DataFrame, transactions: DataFrame) -> DataFrame:
@@ -40,24 +41,24 @@ def hourly_window(
     return start, end
 
 
-def hourly_performance(
+def hour_counts(
     feed: DataFrame,
-    sessions: DataFrame,
+    slices: DataFrame,
     transactions: DataFrame,
-    lo: str | None,
+    reach: str | None,
     hi: str | None,
     cfg: RunConfig,
-    whole: bool = False,
+    cells_from: str | None = None,
 ) -> DataFrame:
-    """One row per session and hour of [lo, hi), also for hours without any announcement. With `whole`, sessions that
-    cross `lo` come with all their hours, to replace those of an earlier run.
+    """SLICE rows with announced and confirmed hashes, also for slices without any announcement, from the messages of
+    [reach, hi].
 
     Announcements meet the block times (shuffle by hash) and then the slices (shuffle by node, peer and hour); both
-    joins cut hot keys. Every slice joins the count as a row of no messages, so one aggregation makes all hours.
+    joins cut hot keys. Every slice joins the count as a row of no messages, so one aggregation makes all hours. With
+    `cells_from`, the same aggregation also makes the cells of [cells_from, hi): one row per peer, node and whole hour
+    with messages, whether or not a session holds it; their start_time is NULL.
     """
-    lower, upper = ntz(lo), ntz(hi)
-    reach = slices_from(sessions, lo, hi) if whole else lo
-    messages = hash_messages(feed).where(F.col("msg_timestamp").between(ntz(reach), upper))
+    messages = hash_messages(feed).where(F.col("msg_timestamp").between(ntz(reach), ntz(hi)))
     announced = explode_hashes(messages, "peer_id", "node_id", "msg_timestamp").select(
         "peer_id", "node_id", "msg_timestamp", "tx_hash"
     )
@@ -68,18 +69,68 @@ def hourly_performance(
         F.when(F.col("copies").isNotNull(), F.col("tx_hash")).alias("confirmed_hash"),
         F.coalesce("copies", F.lit(1)).alias("messages"),
     )
-    slices = hour_slices(sessions, lo, hi, whole)
     hot = hot_keys(hourly_keys(messages), ["peer_id", "node_id", "session_hour"], cfg)
     matched = points_in_hour_slices(marked, slices, hot).select(*SLICE, "messages", "confirmed_hash")
     silent = slices.select(*SLICE, F.lit(0).cast("bigint").alias("messages"), F.lit(None).cast("binary").alias("confirmed_hash"))
-    counted = (
-        matched.unionByName(silent)
-        .groupBy(*SLICE)
-        .agg(
-            F.sum("messages").alias("total_hash_count"),
-            F.count_distinct("confirmed_hash").alias("confirmed_distinct_tx_count"),
+    counted = matched.unionByName(silent)
+    if cells_from is not None:
+        none = F.lit(None).cast("timestamp_ntz")
+        cells = in_closed_hours(marked).where(F.col("session_hour").between(ntz(cells_from), ntz(hi) - F.expr("interval 1 microsecond")))
+        counted = counted.unionByName(
+            cells.withColumns({"start_time": none, "end_time": none}).select(*SLICE, "messages", "confirmed_hash")
         )
+    return counted.groupBy(*SLICE).agg(
+        F.sum("messages").alias("total_hash_count"),
+        F.count_distinct("confirmed_hash").alias("confirmed_distinct_tx_count"),
     )
+
+
+def cells_of(counts: DataFrame, high_block: str | None) -> DataFrame:
+    """The cells among `hour_counts`, with the newest block time their confirmations may come from."""
+    return counts.where(F.col("start_time").isNull()).select(*CELL, *COUNTS, ntz(high_block).alias("high_block_time"))
+
+
+def earlier_counts(
+    sessions: DataFrame, lo: str | None, hi: str | None, cells: DataFrame, known: DataFrame, since: str | None
+) -> tuple[DataFrame, DataFrame]:
+    """The hours before `lo` of sessions that cross it: (those counted already, slices that are not).
+
+    A slice that fills its hour is its cell, and an hour from `since` on without a cell had no messages. A partial one is a
+    session's first hour, whose row `known` holds from the run that made it. Slices are left over only where neither knows
+    them, such as hours before `since`.
+    """
+    slices = hour_slices(sessions, lo, hi, whole=True).where(F.col("session_hour") < ntz(lo))
+    hour = F.col("session_hour")
+    fills = (F.col("session_hour_start") == hour) & (F.col("session_hour_end") == hour + F.expr("interval 1 hour"))
+    covered = fills & (hour >= ntz(since))
+    inner = slices.where(covered).select(*SLICE).join(cells.select(*CELL, *COUNTS), CELL, "left").fillna(0, COUNTS)
+    row_key = [*CELL, "start_time", "session_hour_start", "session_hour_end"]
+    rows = known.select(*row_key, *COUNTS)
+    partial = slices.where(~covered)
+    stored = partial.join(rows, row_key).select(*SLICE, *COUNTS)
+    rest = partial.join(rows, row_key, "left_anti")
+    return inner.select(*SLICE, *COUNTS).unionByName(stored), rest
+
+
+def hourly_performance(
+    feed: DataFrame,
+    sessions: DataFrame,
+    transactions: DataFrame,
+    lo: str | None,
+    hi: str | None,
+    cfg: RunConfig,
+    whole: bool = False,
+) -> DataFrame:
+    """One row per session and hour of [lo, hi), counted from messages. With `whole`, sessions that cross `lo` come with all
+    their hours, to replace those of an earlier run; an increment with stored cells does not need these messages again
+    (`runs.update_hours`)."""
+    reach = slices_from(sessions, lo, hi) if whole else lo
+    return hour_rows(hour_counts(feed, hour_slices(sessions, lo, hi, whole), transactions, reach, hi, cfg), lo, hi, cfg)
+
+
+def hour_rows(counted: DataFrame, lo: str | None, hi: str | None, cfg: RunConfig) -> DataFrame:
+    """The dataset's rows of counted slices."""
+    lower, upper = ntz(lo), ntz(hi)
     hour, minutes = F.col("session_hour"), F.col("session_hour_minutes")
     whole = counted.withColumns(
         {

@@ -5,12 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from peernet.config import RunConfig
+from peernet.config import RunConfig, ntz
+from peernet.functions.scalars import time_bucket
 from peernet.functions.hashing import Digest, keccak256_hex
 from peernet.operators.ledger import assert_no_running, incremental_models, mark_completed, plan_run
 from peernet.operators.sessions import session_watermark
-from peernet.plans.hourly import hourly_performance, hourly_window
+from peernet.operators.intervals import hour_slices
+from peernet.plans.hourly import CELL, cells_of, earlier_counts, hour_counts, hour_rows, hourly_window
 from peernet.plans.mempool import fact_mempool, mempool_watermark
 from peernet.plans.peers import dim_peers, tracker_etherscan, tracker_ethernodes
 from peernet.plans.performance import peer_performance
@@ -29,6 +32,8 @@ MEMPOOL = "fact_mempool_transaction"
 PEERS = "dim_peers"
 SESSIONS = "fact_peer_session"
 HOURLY = "peer_session_performance_hourly"
+HOUR_CELLS = "peer_hour_cells"
+HOUR_COUNTS = "peer_hour_counts"  # of the last window alone
 PERFORMANCE = "dim_peer_performance"
 UNDERSAMPLED = "undersampled_peers"
 HASHES = "fact_hash"
@@ -92,15 +97,39 @@ def run_peer_sessions(
     tables.upsert(updates, SESSIONS, key, "start_time", cluster_by="peer_id")
 
     sessions, transactions = tables.read(SESSIONS), tables.read(TRANSACTIONS)
-    known_hours = tables.read(HOURLY)
-    lo, hi = hourly_window(known_hours, sessions, transactions, cfg)
-    # Sessions that go on from an earlier run are made again, with what is known of their end by now.
-    hours = hourly_performance(sources.feed, sessions, transactions, lo, hi, cfg, whole=known_hours is not None)
-    tables.upsert(hours, HOURLY, HOUR_KEY, "session_hour", cluster_by="peer_id")
+    lo, hi = hourly_window(tables.read(HOURLY), sessions, transactions, cfg)
+    update_hours(sources.feed, sessions, transactions, tables, lo, hi, cfg)
     performance = peer_performance(tables.read(HOURLY), sessions, tables.read(MEMPOOL), transactions, cfg)
     tables.replace(performance, PERFORMANCE, cluster_by="peer_id")
 
 
+def update_hours(
+    feed: DataFrame, sessions: DataFrame, transactions: DataFrame, tables: Tables, lo: str | None, hi: str | None, cfg: RunConfig
+) -> None:
+    """Add the hours of [lo, hi), and make those of sessions that cross `lo` again, with what is known of their end by now.
+
+    Messages before `lo` are not read for that: their counts are stored, per session hour and per cell. An hour's counts
+    are those of the run that first counted it, as for sessions that had ended by then.
+    """
+    cells, known = tables.read(HOUR_CELLS), tables.read(HOURLY)
+    # Cells are of whole hours, so of those from the first full hour on.
+    full = feed.sparkSession.range(1).select(time_bucket("hour", ntz(lo) + F.expr("interval 1 hour") - F.expr("interval 1 microsecond")).cast("string"))
+    first_cell = full.first()[0]
+    slices, reach, earlier = hour_slices(sessions, lo, hi), lo, None
+    if cells is not None and known is not None:
+        since = cells.agg(F.min("cells_from").cast("string")).first()[0] or lo
+        earlier, rest = earlier_counts(sessions, lo, hi, cells, known, since)
+        oldest = rest.agg(F.min("session_hour").cast("string")).first()[0]
+        if oldest is not None:
+            slices, reach = slices.unionByName(rest), oldest
+    counts = tables.replace(hour_counts(feed, slices, transactions, reach, hi, cfg, first_cell), HOUR_COUNTS)
+    hours = counts.where(F.col("start_time").isNotNull())
+    hours = hour_rows(hours if earlier is None else hours.unionByName(earlier), lo, hi, cfg)
+    tables.upsert(hours, HOURLY, HOUR_KEY, "session_hour", cluster_by="peer_id")
+    newest = transactions.agg(F.max("blk_timestamp").cast("string")).first()[0]
+    tables.upsert(cells_of(counts, newest).withColumn("cells_from", ntz(first_cell)), HOUR_CELLS, CELL, "session_hour")
+
+
 def run_analysis(sources: Sources, tables: Tables, cfg: RunConfig) -> None:
     """The two datasets over a fixed stretch of the feed, built anew from the stored transactions and sessions."""
     transactions, sessions = tables.read(TRANSACTIONS), tables.read(SESSIONS)

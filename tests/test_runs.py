@@ -12,7 +12,9 @@ from peernet.config import ntz
 from peernet.functions.hashing import sha256_hex
 from peernet.operators.ledger import IncompleteRunError
 from peernet.plans import runs
+from peernet.plans.hourly import earlier_counts, hourly_performance
 from peernet.plans.mempool import first_seen
+from peernet.plans.staging import stage_transactions
 from peernet.sources.tables import Tables
 from peernet.streaming.first_seen import stream_first_seen
 from tests.util import at, feed, rows
@@ -62,6 +64,28 @@ def test_two_runs_equal_one(spark, cfg, sf_dir, tmp_path):
     assert exported.columns == ["peer_region", "enode", "hash_ct"] and exported.count() > 0
 
 
+def test_an_increment_reads_the_messages_of_its_window_alone(spark, cfg, sf_dir, tmp_path):
+    """A session that lasts all month is closed in the second run: its inner hours come from the stored cells, though no
+    session held most of them when they were counted."""
+    inputs = Inputs(spark, sf_dir)
+    tx = stage_transactions(inputs.transactions, cfg)
+    lo, cut, hi = "2024-01-01 00:00:00", "2024-01-16 00:00:00", "2024-01-30 00:00:00"
+    pairs = inputs.feed.select("peer_id", "node_id").distinct()
+    start, end = ntz("2024-01-01 00:20:00"), ntz("2024-01-28 05:07:00")
+    spans = pairs.select("peer_id", "node_id", start.alias("start_time"), end.alias("end_time"))
+    still_open = spans.withColumn("end_time", F.lit(None).cast("timestamp_ntz"))
+    counts = ["total_hash_count", "confirmed_distinct_tx_count"]
+    tables = Tables(spark, f"file:{tmp_path}/t")
+    runs.update_hours(inputs.feed.where(F.col("msg_timestamp") <= ntz(cut)), still_open, tx, tables, lo, cut, cfg)
+    runs.update_hours(inputs.feed.where(F.col("msg_timestamp") >= ntz(cut)), spans, tx, tables, cut, hi, cfg)
+    whole = hourly_performance(inputs.feed, spans, tx, lo, hi, cfg)
+    found = rows(tables.read(runs.HOURLY), *runs.HOUR_KEY, *counts)
+    assert found == rows(whole, *runs.HOUR_KEY, *counts) and sum(r[-2] for r in found) > 100
+    # Nothing is left to be counted from earlier messages.
+    _, rest = earlier_counts(spans, cut, hi, tables.read(runs.HOUR_CELLS), tables.read(runs.HOURLY), lo)
+    assert rest.count() == 0
+
+
 def test_unfinished_run_blocks_the_next(spark, cfg, sf_dir, tmp_path):
     tables = Tables(spark, f"file:{tmp_path}/t")
     inputs = sources(Inputs(spark, sf_dir))
