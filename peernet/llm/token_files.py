@@ -9,8 +9,8 @@ manifest row. The manifest is written by Spark's committer and names the file of
 attempt leaves an unlisted file. A running sum over the manifest (one row per file) gives every file its place in the
 whole sequence.
 
-Defined results: a NULL text is an empty one and holds the end id alone. Rows that share an id follow each other by text.
-NULL ids come first. Other columns are ignored. An empty table gives an empty manifest.
+Defined results: a NULL text is an empty one and holds the end id alone. Rows that share an id follow each other by
+the hash of their text, then by text. NULL ids come first. Other columns are ignored. An empty table gives an empty manifest.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -162,7 +163,7 @@ class CachedEncoder:
     CHUNK = re.compile(
         rf" ?[{LETTERS}]+(?=[{SIGNS}'0-9 \n]|$)|\n(?=[^ \n])| ?[{SIGNS}]+(?=[A-Za-z \n]|$)|[ \n]*[^ \n]+|[ \n]+"
     )
-    ODD_SPACE = re.compile(r"[^\S \n]")
+    ODD_SPACE = "".join(c for c in map(chr, range(0x110000)) if c.isspace() and c not in " \n")
 
     def __init__(self, path: str, max_chunks: int = 1 << 20):
         from tokenizers import Tokenizer
@@ -174,12 +175,12 @@ class CachedEncoder:
 
     def _learn(self, chunks: list[str]) -> None:
         for chunk, found in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False), strict=True):
-            self.known[chunk] = np.array(found.ids, "<u4").tobytes()
+            self.known[chunk] = array("I", found.ids).tobytes()  # four bytes each, in the order of the machine
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut: list[list[str] | None] = []
         for text in texts:
-            odd = self.ODD_SPACE.search(text) or any(s in text for s in self.special)
+            odd = any(c in text for c in self.ODD_SPACE) or any(s in text for s in self.special)
             cut.append(None if odd else self.CHUNK.findall(text))
         every = set().union(*(c for c in cut if c))
         new = every.difference(self.known)
@@ -190,7 +191,7 @@ class CachedEncoder:
         return [
             np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
             if chunks is None
-            else np.frombuffer(b"".join(map(get, chunks)), "<u4")
+            else np.frombuffer(b"".join(map(get, chunks)), np.uint32)
             for text, chunks in zip(texts, cut, strict=True)
         ]
 
@@ -248,7 +249,7 @@ def write_token_files(
             rows = [(task.partitionId(), name, len(writer.counts), sum(writer.counts))]
         yield _table(rows, MANIFEST_ARROW)
 
-    dealt = texts.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    dealt = texts.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     dealt.mapInArrow(write, MANIFEST).write.parquet(f"{folder}/manifest")
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -279,4 +280,6 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_documents(manifest: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the files."""
-    return manifest.select("part", "file", "start").repartition("part").mapInArrow(_read, DOCS)
+    files = manifest.agg(F.count(F.lit(1))).first()[0]
+    # A task per file: as the manifest is small, Spark would read all files in one.
+    return manifest.select("part", "file", "start").repartitionByRange(max(1, files), "part").mapInArrow(_read, DOCS)

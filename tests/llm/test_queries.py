@@ -8,6 +8,7 @@ import os
 import random
 import re
 import zlib
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -162,11 +163,26 @@ def test_token_files_hold_the_library_s_ids(spark, sf_dir):
     assert read_documents(empty).collect() == []
 
 
+def test_rows_of_one_id_stand_in_one_order(spark):
+    """Over several files: by the hash of the text."""
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)], "doc_id long, text string").repartition(5)
+    tokenizer = Tokenizer.from_file(BPE)
+    expected = []
+    for r in docs.orderBy(F.xxhash64("text")).collect():
+        ids = np.array([*tokenizer.encode(r.text, add_special_tokens=False).ids, 0], "<u4")
+        expected.append(zlib.crc32(ids.tobytes()))
+    found = read_documents(write_token_files(docs, scratch(spark, "test"), BPE)).orderBy("start").collect()
+    assert [r.ids_crc32 for r in found] == expected
+    texts = [r.text for r in docs.orderBy(F.xxhash64("text")).collect()]
+    edited = {hashlib.sha256((t[: len(t) - len(t) // 2] + n[: len(t) // 2]).encode()).hexdigest() for t, n in pairwise([*texts, texts[0]])}
+    assert {r.edited_sha256 for r in fingerprint_documents(docs).collect()} == edited
+
+
 def test_cut_texts_encode_like_whole_ones():
     rng = random.Random(2)
     parts = ["a", "B", " ", " ", "\n", "'s", "'", "é", "1", "  ", "\t", "\xa0", "\x1c", ".", "!", "<|endoftext|>", "😀", "the", "日本", "\u0085"]
     encoder, tokenizer = CachedEncoder(BPE, max_chunks=100), Tokenizer.from_file(BPE)
-    texts = ["".join(rng.choices(parts[: rng.choice([9, 10, 15, 20])], k=rng.randrange(30))) for _ in range(3000)]
+    texts = ["".join(rng.choices(parts[: rng.choice([4, 8, 9, 10, 15, 20])], k=rng.randrange(30))) for _ in range(3000)]
     for i in range(0, 3000, 50):
         for text, ids in zip(texts[i : i + 50], encoder.encode(texts[i : i + 50]), strict=True):
             assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
