@@ -177,7 +177,8 @@ def parse_record(member: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def read_records(
-    index: DataFrame, max_gap: int = 1 << 16, max_read: int = 1 << 23, with_payload: bool = True
+    index: DataFrame, max_gap: int = 1 << 16, max_read: int = 1 << 23, with_payload: bool = True, task_bytes: int = 1 << 25,
+    least_tasks: int = 16,
 ) -> DataFrame:
     """The records that `index` lists (RECORD_SCHEMA). A response's payload is checked against its digest.
 
@@ -213,5 +214,8 @@ def read_records(
                     rows, size = [], 0
         yield _batch(rows, RECORD_ARROW)
 
-    places = index.select("file", "offset", "length").repartitionByRange("file", "offset")
+    # Tasks by the bytes to read: the index is small, so Spark would read all archives in one.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    places = index.select("file", "offset", "length")
+    places = places.repartitionByRange(max(least_tasks, -(-total // task_bytes)), "file", "offset")
     return places.sortWithinPartitions("file", "offset").mapInArrow(read, RECORD_SCHEMA)
