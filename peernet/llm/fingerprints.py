@@ -11,7 +11,8 @@ values among the smallest of both (an estimate of the spans' Jaccard index).
 Neighbours: texts are dealt once into id ranges and sorted there; a range's tasks see each text and its successor. The
 last text of a range meets the first of the next one in a second small step with two texts per range.
 
-Defined results: a NULL text is an empty one. Rows that share an id follow each other by text. NULL ids come first. The
+Defined results: a NULL text is an empty one. Rows that share an id follow each other by the hash of their
+text, then by text. NULL ids come first. The
 only row of a table is its own successor. Other columns are ignored. An empty table gives no rows.
 """
 
@@ -221,7 +222,7 @@ def fingerprint_documents(docs: DataFrame, id_column: str = "doc_id", text_colum
         F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
     )
     tie = F.xxhash64("text")
-    dealt = texts.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", "text")
+    dealt = texts.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie, "text")
     found = stage(dealt.mapInArrow(_within, f"{FIELDS}, part long, head string, tail string"), "fingerprints")
     heads = found.where(F.col("head").isNotNull()).select(F.col("part").alias("next_part"), "head")
     parts = heads.select(F.col("next_part").alias("part"))  # one row per range that has texts
