@@ -2,10 +2,10 @@ r"""Quality rules as a short-circuit cascade.
 
 Every text gets its base figures: words `[^\x20\x09-\x0D]+`, their code points, signs `[#*$%&|<>]`, lines that repeat an
 earlier line, and words in repeated windows of five words. A text of few or mostly repeated words fails at once. The others
-go through RULES until the first that rejects them. The order of the rules is set beforehand: on a sample of at most
-`sample_rows` rows every rule is timed on every text, and rules are sorted by rejections per nanosecond, so a cheap rule
-that rejects much comes first. A text is kept if no rule rejects it, so any order gives the same verdicts, and the sample,
-which is what the first partitions deliver, changes the cost only.
+go through RULES until the first that rejects them. The order of the rules is set beforehand: on a sample, the first
+`sample_rows` rows of every input partition, every rule is timed on every text, and rules are sorted by rejections per
+nanosecond, so a cheap rule that rejects much comes first. Nothing beyond the sample is read for it. A text is kept if no rule
+rejects it, so any order gives the same verdicts; the sample changes the cost only.
 
 A word's number within its text stands for it, and windows are compared by exact combinations of these numbers. Texts are
 taken one by one; a text's arrays are proportional to its length. There is no shuffle.
@@ -21,7 +21,7 @@ from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import count
+from itertools import count, islice
 from time import perf_counter_ns
 
 import numpy as np
@@ -167,18 +167,17 @@ def rule_order(docs: DataFrame, text_column: str, rules: tuple[Rule, ...], sampl
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nanos, rejected = [0] * len(rules), [0] * len(rules)
-        for batch in batches:
-            for text in _texts(batch):
-                if text.base_failed or not text.lines:
-                    continue
+        first = (text for batch in batches for text in _texts(batch))
+        for text in islice(first, sample_rows):
+            if not text.base_failed:
                 for i, rule in enumerate(rules):
                     start = perf_counter_ns()
                     rejected[i] += bool(rule.rejects(text))
                     nanos[i] += perf_counter_ns() - start
         yield _slices([list(range(len(rules))), nanos, rejected], COSTS_ARROW)
 
-    sample = docs.select(F.col(text_column).alias("text")).limit(sample_rows)
-    costs = sample.mapInArrow(measure, "rule int, nanos long, rejected long").groupBy("rule")
+    texts = docs.select(F.col(text_column).cast("string").alias("text"))
+    costs = texts.mapInArrow(measure, "rule int, nanos long, rejected long").groupBy("rule")
     found = {r["rule"]: (r["rejected"], max(r["nanos"], 1)) for r in costs.agg(F.sum("nanos").alias("nanos"), F.sum("rejected").alias("rejected")).collect()}
     return sorted(range(len(rules)), key=lambda i: (-found[i][0] / found[i][1] if i in found else 0, found.get(i, (0, 1))[1]))
 
@@ -188,7 +187,7 @@ def judge_quality(
     id_column: str = "doc_id",
     text_column: str = "text",
     rules: tuple[Rule, ...] = RULES,
-    sample_rows: int = 1000,
+    sample_rows: int = 32,
 ) -> DataFrame:
     """JUDGED rows, one per row of `docs`: base figures, verdict, the rule that rejected the text, and rules it was put to.
 
