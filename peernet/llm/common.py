@@ -32,6 +32,11 @@ def stage(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of plans that nothing refers to any more."""
+    spark._jvm.System.gc()
+
+
 def drop_staged(df: DataFrame) -> None:
     """Delete the files of a staged table that nothing will read any more."""
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
