@@ -354,7 +354,7 @@ _MIRROR = "msg_data || list_reverse(msg_data)"
 _REPEATED = f"list_filter(range(0, len({_MIRROR})), lambda i: list_position({_MIRROR}, ({_MIRROR})[i + 1]) <= i)"
 
 QUERIES: dict[str, str] = {
-    "fact_transaction": f"{_STAGED} WHERE blk_number BETWEEN ({_NEWEST}) + 1 AND (SELECT max(blk_number) FROM tx)",
+    "fact_transaction": f"{_STAGED} WHERE blk_number BETWEEN coalesce(({_NEWEST}), 0) + 1 AND (SELECT max(blk_number) FROM tx)",
     "tracker_ethernodes": "SELECT * FROM en",
     "tracker_etherscan": "SELECT * FROM es",
     "dim_peers": "SELECT * FROM peers",
