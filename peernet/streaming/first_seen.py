@@ -18,8 +18,8 @@ def stream_first_seen(
     """Process the feed files not seen yet, then stop.
 
     The state is the table itself, so it is bounded by the hashes and survives a restart. A batch that runs twice
-    changes nothing: the merge only ever moves a first sighting back. Unlike the batch increment, which reads nothing
-    at or before its high-water mark, a late file still counts.
+    changes nothing: the merge only ever moves a first sighting back. Unlike the batch increment, which reads back no further
+    than `late_hours` before its high-water mark, a file counts however late it is.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
