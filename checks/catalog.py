@@ -33,7 +33,7 @@ from peernet.operators.confirmation import explode_hashes, hash_messages, precon
 from peernet.operators.geo import geoip_enrich
 from peernet.operators.intervals import hour_slices, hourly_keys, points_in_hour_slices, points_in_intervals
 from peernet.operators.relational import bottom_k_per_group, first_per_minute, latest_per_key, union_pad
-from peernet.operators.sessions import high_water, sessionize
+from peernet.operators.sessions import high_water, late_durations, sessionize
 from peernet.operators.skew import hot_keys
 from peernet.operators.sketches import accumulate, combine, estimate
 from peernet.plans.hourly import hourly_bounds, hourly_performance, hourly_window
@@ -487,6 +487,11 @@ def _sessionize_incremental(m: Models) -> DataFrame:
     return sessionize(m.feed, CFG, CUT, early)
 
 
+def _late_durations(m: Models) -> DataFrame:
+    early = sessionize(m.feed.where(F.col("msg_timestamp") <= ntz(CUT)), CFG, SINCE)
+    return late_durations(m.feed, CUT, early.select("peer_id", "node_id", "start_time", "end_time", "session_duration"))
+
+
 def _duplicate_indices(m: Models) -> DataFrame:
     peers = F.concat("msg_data", F.reverse("msg_data"))
     nodes = F.transform(peers, lambda _: F.col("node_id"))
@@ -535,6 +540,15 @@ def _geoip_hot_keys(m: Models) -> DataFrame:
     return geoip_enrich(rows, "peer_ip", m.geo_blocks, cfg, seen, ["peer_id", "msg_timestamp"])
 
 
+def _geoip_strict(m: Models) -> DataFrame:
+    """Every address is checked; about half of the rows name none."""
+    seen = tracker_addresses(m.feed, SINCE)
+    rows = tracker_messages(m.feed, SINCE).select(
+        "node_id", "peer_id", "msg_timestamp", F.when(F.col("peer_id") < "8", F.col("peer_ip")).otherwise("").alias("peer_ip")
+    )
+    return geoip_enrich(rows, "peer_ip", m.geo_blocks, CFG, seen, ["peer_id", "msg_timestamp"], strict=True)
+
+
 def _node_id(m: Models) -> DataFrame:
     """What can be told of the digests without computing them: 64 hex digits, one digest per key, a known value."""
     ids = tracker_ethernodes(m.ethernodes, CFG).select("node_public_key", "node_id", keccak256_hex(F.lit("")).alias("of_nothing"))
@@ -604,6 +618,7 @@ CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "first_seen_upsert": _first_seen_upsert,
     "geoip_enrich": _geoip_enrich,
     "geoip_hot_keys": _geoip_hot_keys,
+    "geoip_strict": _geoip_strict,
     "sync_gap": _blocks_of_handshakes,
     "explode_hashes": _explode_hashes,
     "number_range": _number_range,
@@ -623,6 +638,7 @@ CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "version_changes": _version_changes,
     "sessionize": lambda m: m.sessions,
     "sessionize_incremental": _sessionize_incremental,
+    "late_durations": _late_durations,
     "union_pad": _union_pad,
     "undersampled_few": lambda m: undersampled_peers(m.built_hourly, m.built_sessions, CFG, k=3).drop("updated_at"),
     "undersampled_counts": lambda m: hash_counts(m.built_hourly, m.built_sessions, CFG),

@@ -462,6 +462,13 @@ QUERIES: dict[str, str] = {
     "geoip_hot_keys": """SELECT node_id, peer_id, msg_timestamp, CASE WHEN peer_id < '8' THEN t.peer_ip END AS peer_ip,
       CASE WHEN peer_id < '8' THEN country_code END AS peer_country_code, CASE WHEN peer_id < '8' THEN city END AS peer_city,
       CASE WHEN peer_id < '8' THEN subdivision END AS peer_subdivision FROM trackers t LEFT JOIN places p ON t.peer_ip = p.peer_ip""",
+    "geoip_strict": """SELECT node_id, peer_id, msg_timestamp, CASE WHEN peer_id < '8' THEN t.peer_ip ELSE '' END AS peer_ip,
+      CASE WHEN peer_id < '8' THEN country_code END AS peer_country_code, CASE WHEN peer_id < '8' THEN city END AS peer_city,
+      CASE WHEN peer_id < '8' THEN subdivision END AS peer_subdivision FROM trackers t LEFT JOIN places p ON t.peer_ip = p.peer_ip""",
+    "late_durations": f"""SELECT peer_id, node_id, start_time, end_time, session_duration FROM sessions s
+      WHERE session_duration IS NOT NULL AND end_time <= TIMESTAMP '{CUT}' AND NOT EXISTS (SELECT 1 FROM feed f
+        WHERE f.msg_type = 'peer_set_remove' AND f.msg_data[3] IS NOT NULL AND f.node_id = s.node_id
+          AND f.peer_id = s.peer_id AND f.msg_timestamp BETWEEN s.start_time AND TIMESTAMP '{CUT}')""",
     "node_id": """SELECT DISTINCT node_public_key, 64 AS digits, TRUE AS is_hex, 1::BIGINT AS ids,
       'c5d2460186f7233c927e7db2dcc703c0e500b653ca82273b7bfad8045d85a470' AS of_nothing FROM ethernodes""",
     "hex_codec": """SELECT blk_number, tx_index, CAST(octet_length(from_hex(substr(tx_hash, 3))) AS INTEGER) AS bytes,

@@ -7,7 +7,7 @@ key is wide: a /16 holds at most 65536 addresses, however many rows repeat them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peernet.config import RunConfig
@@ -50,14 +50,23 @@ def locate(addresses: DataFrame, ip: str, blocks: DataFrame) -> DataFrame:
     return found.groupBy(ip).agg(F.min_by(place, narrowest).alias("place")).select(ip, "place.*")
 
 
+def checked_address(ip: Column) -> Column:
+    """The address itself; a text that is no address fails the query. NULL and '' name no host, and IPv6 has no blocks."""
+    no_address = (ip != "") & ~ip.contains(":") & ipv4_number(ip).isNull()
+    return F.when(no_address, F.raise_error(F.concat(F.lit("not an address: "), ip))).otherwise(ip)
+
+
 def geoip_enrich(
-    rows: DataFrame, ip: str, blocks: DataFrame, cfg: RunConfig, seen: DataFrame, spread: list[str]
+    rows: DataFrame, ip: str, blocks: DataFrame, cfg: RunConfig, seen: DataFrame, spread: list[str], strict: bool = False
 ) -> DataFrame:
     """Add peer_country_code, peer_city and peer_subdivision, NULL where no block covers the address.
 
     `seen` is a cheap frame holding the `ip` column (the feed's own), used to find the distinct and the hot addresses
-    without computing `rows` twice.
+    without computing `rows` twice. With `strict`, NULL only means that no block was found: a text that is no address is
+    an error.
     """
+    if strict:
+        rows = rows.withColumn(ip, checked_address(F.col(ip)))
     places = locate(seen, ip, blocks).select(
         ip,
         F.col("country_code").alias("peer_country_code"),

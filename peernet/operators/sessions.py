@@ -100,6 +100,26 @@ def sessionize(
     )
 
 
+def late_durations(feed: DataFrame, since: str | None, stored: DataFrame) -> DataFrame:
+    """The stored sessions that closed without a reported duration and get one from the messages after `since`.
+
+    `stored` is complete up to `since`, so the first report of a pair after it is the first one after each such session's
+    start: one row per pair that reports, whatever the number of messages. Sessions that still wait are not returned.
+    """
+    reports = feed.where((F.col("msg_timestamp") > ntz(since)) & (F.col("msg_type") == PEER_REMOVE)).select(
+        *PAIR, "msg_timestamp", F.get("msg_data", F.lit(2)).alias("reported")
+    )
+    first = (
+        reports.where(F.col("reported").isNotNull())
+        .groupBy(*PAIR)
+        .agg(F.min(F.struct("msg_timestamp", "reported")).alias("_first"))
+    )
+    waiting = stored.where(F.col("end_time").isNotNull() & F.col("session_duration").isNull())
+    return waiting.join(first, PAIR).select(
+        *[F.col("_first.reported").cast("bigint").alias(c) if c == "session_duration" else c for c in stored.columns]
+    )
+
+
 def high_water(sessions: DataFrame) -> DataFrame:
     """(high_water, closed): NULL while no session has closed yet."""
     return sessions.agg(

@@ -20,7 +20,7 @@ from peernet.functions.scalars import (
 )
 from peernet.operators.geo import geoip_enrich
 from peernet.operators.relational import first_per_minute
-from peernet.operators.sessions import PAIR, sessionize
+from peernet.operators.sessions import PAIR, late_durations, sessionize
 from peernet.operators.skew import hot_keys, salted_join
 
 LOOK_BACK = "interval 14 hours"
@@ -168,7 +168,7 @@ def fact_peer_session(
     since: str | None,
     open_sessions: DataFrame | None = None,
 ) -> DataFrame:
-    """Sessions that started, or were still open, after `since`."""
+    """Sessions that started, or were still open, after `since`, and stored ones whose duration is reported only after it."""
     country = country_code.select(
         F.col("country_code").alias("peer_country_code"),
         F.col("region").alias("peer_region"),
@@ -185,7 +185,7 @@ def fact_peer_session(
     known = join_crawlers(placed, dim_peers, peers, cfg)
     if open_sessions is not None:
         known = keep_told(known, open_sessions)
-    return known.select(
+    updates = known.select(
         "start_time", "end_time", "session_duration", "session_duration_calculated", "session_duration_hour",
         "end_time_imputed", "node_id", "peer_id", "peer_public_key", "peer_rlp_protocol_version", "peer_client_type",
         "peer_client_version", "peer_os", "peer_run_time_version", "peer_capabilities", "peer_ip", "peer_port",
@@ -194,3 +194,7 @@ def fact_peer_session(
         *[f"{source}_{c}" for source, columns in CRAWLER_COLUMNS.items() for c in columns],
         cfg.run_stamp.alias("updated_at"),
     )
+    if open_sessions is None:
+        return updates
+    late = late_durations(feed, since, open_sessions).withColumn("updated_at", cfg.run_stamp)
+    return updates.unionByName(late.select(*updates.columns))

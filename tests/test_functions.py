@@ -87,10 +87,25 @@ def test_arrays(spark):
     assert value(spark, remove_indices(peers, duplicate_indices(nodes, peers))) == ["a", "a", "b"]
     none = F.array().cast("array<string>")
     assert value(spark, duplicate_indices(none, none)) == []
+    assert value(spark, remove_indices(none, F.array(F.lit(0)))) == []
+    assert value(spark, remove_indices(F.lit(None).cast("array<string>"), F.array(F.lit(0)))) is None
+    assert value(spark, remove_indices(peers, F.array().cast("array<int>"))) == ["a", "a", "a", "b"]
+    gaps = F.array(F.lit(None), F.lit("a"), F.lit(None), F.lit("a")).cast("array<string>")
+    assert value(spark, duplicate_indices(gaps, gaps)) == [2, 3]
     assert value(spark, index_of(F.lit("b"), peers)) == 3
     assert value(spark, index_of(F.lit("z"), peers)) is None
 
 
+def test_long_arrays(spark):
+    """Quadratic work would take minutes here."""
+    df = spark.range(8).select(F.transform(F.sequence(F.lit(0), F.lit(99_999)), lambda i: (i * 7 % 60_000).cast("string")).alias("p"))
+    again = duplicate_indices(F.col("p"), F.col("p"))
+    found = df.select(again.alias("d"), remove_indices(F.col("p"), again).alias("k")).select(
+        F.size("d"), F.element_at("d", 1), F.size("k"), F.size(F.array_distinct("k"))
+    )
+    assert {tuple(r) for r in found.collect()} == {(40_000, 60_000, 60_000, 60_000)}
+
+
 def test_keccak(spark):
     # Published vectors of the original Keccak-256.
     data = np.frombuffer(b"abc" + bytes(64), np.uint8)

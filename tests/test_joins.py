@@ -7,6 +7,7 @@ import random
 from dataclasses import replace
 from datetime import timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from peernet.operators.geo import block_pieces, geoip_enrich, locate
@@ -184,3 +185,11 @@ def test_locate_most_specific(spark, cfg):
     assert "bad" not in found and "" not in found
     enriched = geoip_enrich(seen, "ip", frame, replace(cfg, hot_min_rows=1, hot_sample=1.0), seen, [])
     assert enriched.count() == len(ips)
+    good = seen.where("ip <> 'bad'").unionByName(spark.createDataFrame([(None,), ("2001:db8::1",)], "ip string"))
+    strict = geoip_enrich(good, "ip", frame, cfg, good, [], strict=True)
+    assert sorted(map(repr, strict.where("ip <> ''").collect())) == sorted(
+        map(repr, geoip_enrich(good, "ip", frame, cfg, good, []).where("ip <> ''").collect())
+    )
+    assert strict.where("ip is null or ip = ''").where("peer_city is null").count() == 2
+    with pytest.raises(Exception, match="not an address: bad"):
+        geoip_enrich(seen, "ip", frame, cfg, seen, [], strict=True).collect()
