@@ -12,7 +12,8 @@ pair whose sketches differ in more than the threshold allows is refused without
 
 Equal texts (after normalisation) are one node. Nodes that agree in a band of coordinates are compared by the exact
 weighted Jaccard index of their cells (`groups.bucket_links`), and linked from `threshold` up. A class is a connected
-group and is named by its smallest id.
+group and is named by its smallest id. Cells are compared by 32 bits: of two documents of n cells, about n * n / 2^32 cells
+agree by chance.
 
 Defined results: texts of one to four words are one shingle. Texts without words are equal if their characters are, and
 never near; a NULL text is alone. Rows that share an id are one document, whose texts are linked. A row with a NULL id has
@@ -175,6 +176,18 @@ def _signed(bands: int, rows: int):
     return sign
 
 
+def _texts(signed: DataFrame, shared: DataFrame) -> DataFrame:
+    """One signed row per id and text, with a `name` of its own: the id, or a hash where the id has several texts."""
+    own = signed.where(F.col("doc_id").isNotNull())
+    if shared.isEmpty():
+        return own.withColumn("name", F.col("doc_id"))
+    single = own.join(shared, "doc_id", "left_anti").withColumn("name", F.col("doc_id"))
+    once = own.join(shared, "doc_id").groupBy("doc_id", "h1", "h2", "differ")
+    once = once.agg(*[F.first(c).alias(c) for c in ("cells", "bands", "sketch")])
+    name = F.when(F.col("differ"), F.xxhash64(F.lit("text"), "doc_id", "h1", "h2")).otherwise(F.col("doc_id"))
+    return stage(single.unionByName(once.withColumn("name", name).drop("differ")), "texts")
+
+
 def near_duplicate_classes(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -200,12 +213,19 @@ def near_duplicate_classes(
         "norm",
     )
     signed = stage(known.mapInArrow(_signed(bands, rows), SIGNED), "signed")
-    # One node per distinct text: its smallest id.
-    nodes = stage(
+    shared = stage(
         signed.where(F.col("doc_id").isNotNull())
-        .groupBy("h1", "h2")
-        .agg(
-            F.min("doc_id").alias("node"),
+        .groupBy("doc_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("h1", "h2")).alias("x"), F.max(F.struct("h1", "h2")).alias("y"))
+        .where(F.col("n") > 1)
+        .select("doc_id", (F.col("x") != F.col("y")).alias("differ")),
+        "shared",
+    )
+    texts = _texts(signed, shared)
+    # One node per distinct text: its smallest name.
+    nodes = stage(
+        texts.groupBy("h1", "h2").agg(
+            F.min("name").alias("node"),
             F.first("bands").alias("bands"),
             F.first(F.size("cells")).alias("size"),
             F.first("sketch").alias("sketch"),
@@ -213,7 +233,7 @@ def near_duplicate_classes(
         "nodes",
     )
     members = nodes.select("node", F.explode("bands").alias("bucket"))
-    cells = signed.select(F.col("doc_id").alias("node"), "cells").where(F.size("cells") > 0)
+    cells = texts.select(F.col("name").alias("node"), "cells").where(F.size("cells") > 0)
 
     def verify(pairs: DataFrame) -> DataFrame:
         both = pairs.join(cells.select(F.col("node").alias("a"), F.col("cells").alias("x")), "a").join(
@@ -234,19 +254,20 @@ def near_duplicate_classes(
     def meeting(x: Column, y: Column) -> Column:
         return first_shared(*([F.get(z["bands"], i) for i in range(bands)] for z in (x, y)))
 
-    # A node's first text stands for it; rows that share an id are tied together below.
-    payloads = nodes.groupBy("node").agg(F.min_by(F.struct("size", "sketch", "bands"), F.struct("h1", "h2")).alias("payload"))
+    payloads = nodes.select("node", F.struct("size", "sketch", "bands").alias("payload"))
     links = bucket_links(members, payloads, possible, meeting, verify)
-    # Rows that share an id tie their texts' nodes together.
-    texts = signed.where(F.col("doc_id").isNotNull()).select("doc_id", "h1", "h2").distinct()
-    of_text = texts.join(nodes.select("h1", "h2", "node"), ["h1", "h2"])
-    placed = stage(of_text.select("doc_id", "node"), "placed")
-    several = placed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
+    placed = texts.select("doc_id", "h1", "h2").join(nodes.select("h1", "h2", "node"), ["h1", "h2"])
+    placed = stage(placed.select("doc_id", "node"), "placed")
+    # An id of several texts, which names none of them, ties their nodes together.
+    several = shared.where("differ").select("doc_id")
     ties = placed.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     roots = connected(links.unionByName(ties))
-    grouped = placed.join(roots, "node", "left").groupBy("doc_id").agg(
-        F.min(F.coalesce("root", "node")).alias("class_id")
-    )
+    rooted = placed.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("class_id"))
+    if not several.isEmpty():  # hashed names are no ids: a class is named again, by its smallest id
+        rooted = stage(rooted.distinct(), "rooted")
+        smallest = rooted.groupBy("class_id").agg(F.min("doc_id").alias("smallest"))
+        rooted = rooted.join(smallest, "class_id").select("doc_id", F.col("smallest").alias("class_id"))
+    grouped = rooted.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     grouped = stage(grouped, "classes")
     return docs.select(F.col(id_column).cast("long").alias("doc_id")).join(grouped, "doc_id", "left")
 

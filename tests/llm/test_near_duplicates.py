@@ -125,6 +125,28 @@ def test_rows_that_share_an_id_tie_their_texts(spark):
     assert {(r.doc_id, r.class_id) for r in near_duplicate_classes(docs).collect()} == {(1, 1), (7, 1), (9, 1)}
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_classes_of_shared_ids_are_those_of_all_pairs(spark, seed):
+    rng = random.Random(seed)
+    texts = [t for _, t in corpus(seed)]
+    rows = [(rng.randrange(60) if rng.random() < 0.5 else 100 + i, t) for i, t in enumerate(texts)]
+    rows += rng.choices(rows, k=20)
+    alike = classes_by_force(list(enumerate(t for _, t in rows)))
+    root = {d: d for d, _ in rows}
+    # Rows of one class, or of one id, are one class of ids; repeat until nothing moves.
+    while True:
+        before = dict(root)
+        of_class: dict[int, int] = {}
+        for i, (d, _) in enumerate(rows):
+            of_class[alike[i]] = min(of_class.get(alike[i], root[d]), root[d])
+        for i, (d, _) in enumerate(rows):
+            root[d] = min(root[d], of_class[alike[i]])
+        if root == before:
+            break
+    result = near_duplicate_classes(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: r.class_id for r in result} == root and len(result) == len(rows)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert near_duplicate_classes(docs).collect() == [] and drop_near_duplicates(docs).collect() == []
