@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from peernet.config import RunConfig, ntz
 from peernet.operators.confirmation import hash_messages
 from peernet.operators.relational import keep_earliest
+from peernet.schemas import SCHEMAS
+from peernet.sources.loaders import arrived_after
+from peernet.sources.tables import Tables, delete
+
+MEMPOOL = "fact_mempool_transaction"
 
 
 def first_seen(feed: DataFrame, since: str | None) -> DataFrame:
@@ -35,3 +40,31 @@ def fact_mempool(feed: DataFrame, target: DataFrame, since: str | None, cfg: Run
     return keep_earliest(first_seen(feed, since), target, "tx_hash", "first_seen_at").withColumn(
         "updated_at", cfg.run_stamp
     )
+
+
+def arrivals(feed: DataFrame, since: str | None, arrived: str | None, cfg: RunConfig) -> DataFrame:
+    """Announcements after `since`, and those up to it, however old, that reached the feed after `arrived`."""
+    messages = hash_messages(feed).where(F.col("msg_timestamp") > ntz(cfg.initial_bound))
+    recent = messages.where(F.col("msg_timestamp") > ntz(since))
+    if arrived is None:
+        return recent
+    late = arrived_after(messages, arrived).where(F.col("msg_timestamp") <= ntz(since))
+    return recent.unionByName(late)
+
+
+def merge_first_seen(messages: DataFrame, tables: Tables, cfg: RunConfig, note: str | None = None) -> None:
+    """Merge announcements into the stored first sightings.
+
+    The sightings are staged; of the target, only the dates that may hold one of their hashes are read.
+    """
+    staging = tables.staging(MEMPOOL)
+    try:
+        first_seen(messages, cfg.initial_bound).write.parquet(staging)
+        new = tables.spark.read.schema("tx_hash string, first_seen_at timestamp_ntz").parquet(staging)
+        known = tables.read_holding(MEMPOOL, new, ["tx_hash"])
+        if known is None:
+            known = tables.spark.createDataFrame([], SCHEMAS["mempool_transaction"])
+        updates = keep_earliest(new, known, "tx_hash", "first_seen_at").withColumn("updated_at", cfg.run_stamp)
+        tables.upsert(updates, MEMPOOL, ["tx_hash"], "first_seen_at", cluster_by="tx_hash", note=note)
+    finally:
+        delete(tables.spark, staging)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from peernet.operators.ledger import assert_no_running, incremental_models, mark
 from peernet.operators.sessions import session_watermark
 from peernet.operators.intervals import hour_slices
 from peernet.plans.hourly import CELL, cells_of, earlier_counts, hour_counts, hour_rows, hourly_window
-from peernet.plans.mempool import fact_mempool, mempool_watermark
+from peernet.plans.mempool import MEMPOOL, arrivals, mempool_watermark, merge_first_seen
 from peernet.plans.peers import dim_peers, tracker_etherscan, tracker_ethernodes
 from peernet.plans.performance import peer_performance
 from peernet.plans.propagation import fact_hash
@@ -28,7 +29,6 @@ from peernet.sources.tables import Tables
 
 LEDGER = "incremental_coordinator"
 TRANSACTIONS = "fact_transaction__tx_hash"
-MEMPOOL = "fact_mempool_transaction"
 PEERS = "dim_peers"
 SESSIONS = "fact_peer_session"
 HOURLY = "peer_session_performance_hourly"
@@ -70,11 +70,16 @@ def run_transactions(sources: Sources, tables: Tables, cfg: RunConfig) -> None:
 
 
 def run_mempool(sources: Sources, tables: Tables, cfg: RunConfig) -> None:
-    target = tables.read(MEMPOOL)
-    since = mempool_watermark(target, cfg)
-    known = tables.read(MEMPOOL, SCHEMAS["mempool_transaction"])
-    updates = fact_mempool(sources.feed, known, since, cfg)
-    tables.upsert(updates, MEMPOOL, ["tx_hash"], "first_seen_at", cluster_by="tx_hash")
+    """Merge what was announced since the newest sighting, and what reached the feed since the last run, however late.
+
+    A file written up to `late_hours` before the last run's start is looked at again: the clocks may differ, and a merge
+    that sees a row twice changes nothing.
+    """
+    newest = tables.read_newest(MEMPOOL)
+    last_run = tables.note(MEMPOOL)
+    arrived = last_run and str(datetime.fromisoformat(last_run) - timedelta(hours=cfg.late_hours))
+    messages = arrivals(sources.feed, mempool_watermark(newest, cfg), arrived, cfg)
+    merge_first_seen(messages, tables, cfg, note=cfg.run_started_at)
 
 
 def run_peer_sessions(
@@ -97,7 +102,7 @@ def run_peer_sessions(
     tables.upsert(updates, SESSIONS, key, "start_time", cluster_by="peer_id")
 
     sessions, transactions = tables.read(SESSIONS), tables.read(TRANSACTIONS)
-    lo, hi = hourly_window(tables.read(HOURLY), sessions, transactions, cfg)
+    lo, hi = hourly_window(tables.read_newest(HOURLY), sessions, transactions, cfg)
     update_hours(sources.feed, sessions, transactions, tables, lo, hi, cfg)
     performance = peer_performance(tables.read(HOURLY), sessions, tables.read(MEMPOOL), transactions, cfg)
     tables.replace(performance, PERFORMANCE, cluster_by="peer_id")

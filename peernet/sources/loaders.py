@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,17 @@ def scan_feed(feed: DataFrame, types: tuple[str, ...], after: str | None, until:
     return rows if until is None else rows.where(F.col("msg_timestamp") <= ntz(until))
 
 
+def arrived_after(table: DataFrame, stamp: str) -> DataFrame:
+    """Rows of the files written after `stamp` (UTC); Spark leaves the other files out by their listing alone.
+
+    Rows that do not come straight from files carry no such time, so all of them may be new.
+    """
+    try:
+        return table.where(F.col("_metadata.file_modification_time") > F.lit(stamp).cast("timestamp"))
+    except AnalysisException:
+        return table
+
+
 def freshness(table: DataFrame, name: str, loaded_at: str, cfg: RunConfig, max_age_minutes: int = 60) -> DataFrame:
     """(table_name, newest, age_minutes, status): error if the newest row is older than allowed, or missing."""
     age = (epoch_us(ntz(cfg.as_of)) - epoch_us(F.col("newest"))) / F.lit(60_000_000.0)

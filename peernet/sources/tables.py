@@ -82,15 +82,50 @@ class Tables:
         """An appended or upserted table; None (or an empty frame with `schema`) before its first write."""
         manifest = self._manifest(name)
         if manifest is not None:
-            declared, folders = StructType.fromJson(manifest["schema"]), sorted(set(manifest["dates"].values()))
-            if not folders:
-                return self.spark.createDataFrame([], declared)
-            reader = self.spark.read.schema(declared).option("basePath", self.path(name))
-            return reader.parquet(*folders).select(*declared.names)
+            return self._read_dates(name, manifest, sorted(manifest["dates"]))
         if not exists(self.spark, self.path(name)):
             return None if schema is None else self.spark.createDataFrame([], schema)
         return self.spark.read.parquet(self.path(name))
 
+    def read_newest(self, name: str) -> DataFrame | None:
+        """The newest date of an upserted table, for a bound on the column that dates it; None before its first write."""
+        manifest = self._manifest(name)
+        if manifest is None:
+            return None
+        newest = max((day for day in manifest["dates"] if day != "None"), default=None)
+        return self._read_dates(name, manifest, [] if newest is None else [newest])
+
+    def read_holding(self, name: str, rows: DataFrame, keys: list[str]) -> DataFrame | None:
+        """The dates of an upserted table that may hold a key of `rows`; None before its first write."""
+        manifest = self._manifest(name)
+        if manifest is None:
+            return None
+        return self._read_dates(name, manifest, self._dates_holding(name, manifest, rows, keys))
+
+    def note(self, name: str) -> str | None:
+        """What the last upsert of a table left as its note."""
+        return (self._manifest(name) or {}).get("note")
+
+    def _read_dates(self, name: str, manifest: dict, days: list[str]) -> DataFrame:
+        declared = StructType.fromJson(manifest["schema"])
+        if not days:
+            return self.spark.createDataFrame([], declared)
+        reader = self.spark.read.schema(declared).option("basePath", self.path(name))
+        return reader.parquet(*[manifest["dates"][day] for day in days]).select(*declared.names)
+
+    def _dates_holding(self, name: str, manifest: dict, rows: DataFrame, keys: list[str]) -> list[str]:
+        """Dates whose key prints meet those of `rows`, and dates without prints. Only the prints are read."""
+        declared = StructType.fromJson(manifest["schema"])
+        prints = manifest.get("prints", {})
+        unknown = [day for day in manifest["dates"] if day not in prints]
+        if not prints:
+            return unknown
+        reader = self.spark.read.schema("_print long, _date date").option("basePath", self.path(name))
+        stored = reader.parquet(*prints.values()).select("_print", "_date")
+        wanted = rows.select(F.xxhash64(*[F.col(k).cast(declared[k].dataType) for k in keys]).alias("_print"))
+        met = stored.join(wanted, "_print", "left_semi").select("_date").distinct().collect()  # a row per touched day
+        return [*unknown, *(str(row[0]) for row in met)]
+
     def append(self, df: DataFrame, name: str, cluster_by: str | None = None) -> None:
         (clustered(df, cluster_by) if cluster_by else df).write.mode("append").parquet(self.path(name))
 
@@ -119,8 +154,18 @@ class Tables:
         stream.close()
         rename(self.spark, f"{target}.tmp", f"{target}.json")
 
+    def staging(self, name: str) -> str:
+        """A folder of its own for rows of one step; the caller deletes it."""
+        return f"{self.root}/_staging/{name}-{uuid.uuid4().hex}"
+
     def upsert(
-        self, updates: DataFrame, name: str, keys: list[str], date_of: str, cluster_by: str | None = None
+        self,
+        updates: DataFrame,
+        name: str,
+        keys: list[str],
+        date_of: str,
+        cluster_by: str | None = None,
+        note: str | None = None,
     ) -> None:
         """Insert or replace rows by key in a table partitioned by the date of one column.
 
@@ -128,57 +173,72 @@ class Tables:
         `cluster_by` (the first key by default); then a new manifest, which names the folder of each date, takes their
         place at once. A reader sees the table before or after, and a stop in between changes nothing. The update is
         staged first: it is computed once. Folders that neither the new nor the last manifest names are dropped.
+
+        Where `date_of` is no key, a replaced row may be of any date. So each date keeps the 64-bit prints of its keys,
+        sorted and delta-coded, in a folder of their own: the update meets these, and of the rows only those of dates
+        that (but for a clash of prints, which changes nothing) hold one of its keys are read.
         """
-        staging = f"{self.root}/_staging/{name}-{uuid.uuid4().hex}"
+        staging = self.staging(name)
         try:
-            self._upsert(updates, name, keys, date_of, cluster_by or keys[0], staging)
+            self._upsert(updates, name, keys, date_of, cluster_by or keys[0], note, staging)
         finally:
             delete(self.spark, staging)
 
     def _upsert(
-        self, updates: DataFrame, name: str, keys: list[str], date_of: str, cluster_by: str, staging: str
+        self, updates: DataFrame, name: str, keys: list[str], date_of: str, cluster_by: str, note: str | None, staging: str
     ) -> None:
         dated = updates.withColumn("_date", F.to_date(date_of))
         dated.write.parquet(staging)
         new = self.spark.read.schema(dated.schema).parquet(staging)
-        last, current = self._manifest(name), self.read(name)
-        dates = {r[0] for r in new.select("_date").distinct().collect()}  # one row per touched day
-        folders = {} if last is None else dict(last["dates"])
+        last = self._manifest(name)
+        dates = {str(r[0]) for r in new.select("_date").distinct().collect()}  # one row per touched day
+        folders, prints = ({}, {}) if last is None else (dict(last["dates"]), dict(last.get("prints", {})))
+        if last is not None and date_of not in keys:  # else a replaced row has the date of the new one
+            dates |= set(self._dates_holding(name, last, new, keys))
         merged = new
-        if current is not None and folders:
-
-            def same(rows: DataFrame):
-                return reduce(lambda a, b: a & b, [rows[k].eqNullSafe(new[k]) for k in keys])
-
-            if date_of not in keys:  # else a replaced row has the date of the new one
-                replaced = current.join(new.select(*keys), same(current), "left_semi").select("_date")
-                dates |= {r[0] for r in replaced.distinct().collect()}
-            unknown = F.col("_date").isNull() if None in dates else F.lit(False)
-            kept = current.where(F.col("_date").isin([d for d in dates if d is not None]) | unknown)
-            merged = kept.join(new.select(*keys), same(kept), "left_anti").unionByName(new)
+        old = sorted(dates & folders.keys())
+        if old:
+            current = self._read_dates(name, last, old)
+            same = reduce(lambda a, b: a & b, [current[k].eqNullSafe(new[k]) for k in keys])
+            merged = current.join(new.select(*keys), same, "left_anti").unionByName(new)
         number = 1 + max([int(m.rsplit("/v", 1)[1].split(".")[0]) for m in self._manifests(name)], default=0)
-        target = f"{self.path(name)}/_v={number:06d}-{uuid.uuid4().hex[:8]}"
+        version = f"{number:06d}-{uuid.uuid4().hex[:8]}"
         row_print = F.xxhash64(*merged.columns)
         # Sorted by date first, so that a task writes a file for each of a few dates.
         ordered = merged.repartitionByRange("_date", cluster_by, row_print).sortWithinPartitions("_date", cluster_by)
-        ordered.write.partitionBy("_date").parquet(target)
-        for day in dates:
-            folders.pop(str(day), None)
+        written = self._write_dates(ordered, f"{self.path(name)}/_v={version}")
+        folders = {day: folder for day, folder in folders.items() if day not in dates} | written
+        prints = {day: folder for day, folder in prints.items() if day not in dates}
+        note = note or (last or {}).get("note")
+        manifest = {"schema": merged.schema.jsonValue(), "dates": folders, "prints": prints, "note": note}
+        if written and date_of not in keys:
+            rows = self._read_dates(name, manifest, sorted(written)).select(F.xxhash64(*keys).alias("_print"), "_date")
+            rows = rows.repartitionByRange("_date", "_print").sortWithinPartitions("_date", "_print")
+            prints |= self._write_dates(
+                rows, f"{self.path(name)}/_k={version}", **{"parquet.writer.version": "v2", "parquet.enable.dictionary": "false"}
+            )
+        self._publish(name, number, manifest)
+        self._drop_unused(name, [last or {}, manifest])
+
+    def _write_dates(self, rows: DataFrame, target: str, **options: str) -> dict[str, str]:
+        """Write rows by `_date`; the folder of each date."""
+        rows.write.options(**options).partitionBy("_date").parquet(target)
         fs, p = _hadoop_path(self.spark, target)
+        found = {}
         for status in fs.listStatus(p):
             folder = status.getPath().getName()
             if folder.startswith("_date="):
                 day = folder.removeprefix("_date=")
-                folders["None" if day == "__HIVE_DEFAULT_PARTITION__" else day] = status.getPath().toString()
-        self._publish(name, number, {"schema": merged.schema.jsonValue(), "dates": folders})
-        self._drop_unused(name, [last["dates"] if last else {}, folders])
+                found["None" if day == "__HIVE_DEFAULT_PARTITION__" else day] = status.getPath().toString()
+        return found
 
-    def _drop_unused(self, name: str, manifests: list[dict[str, str]]) -> None:
-        used = {f.rsplit("/_date=", 1)[0].rsplit("/", 1)[1] for dates in manifests for f in dates.values()}
+    def _drop_unused(self, name: str, manifests: list[dict]) -> None:
+        folders = [f for m in manifests for part in ("dates", "prints") for f in m.get(part, {}).values()]
+        used = {f.rsplit("/_date=", 1)[0].rsplit("/", 1)[1] for f in folders}
         fs, p = _hadoop_path(self.spark, self.path(name))
         for status in fs.listStatus(p):
             folder = status.getPath().getName()
-            if folder.startswith("_v=") and folder not in used:
+            if folder.startswith(("_v=", "_k=")) and folder not in used:
                 delete(self.spark, status.getPath().toString())
         for old in self._manifests(name)[:-2]:
             delete(self.spark, old)

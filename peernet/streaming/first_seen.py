@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from peernet.config import RunConfig
-from peernet.plans.mempool import fact_mempool
-from peernet.plans.runs import MEMPOOL
+from peernet.plans.mempool import merge_first_seen
 from peernet.schemas import SCHEMAS
 from peernet.sources.tables import Tables
 
@@ -18,13 +17,12 @@ def stream_first_seen(
     """Process the feed files not seen yet, then stop.
 
     The state is the table itself, so it is bounded by the hashes and survives a restart. A batch that runs twice
-    changes nothing: the merge only ever moves a first sighting back. Unlike the batch increment, which reads back no further
-    than `late_hours` before its high-water mark, a file counts however late it is.
+    changes nothing: the merge only ever moves a first sighting back. As in the batch increment, a file counts however late it
+    is, and of the table only the dates that may hold a hash of the batch are read.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        known = tables.read(MEMPOOL, SCHEMAS["mempool_transaction"])
-        tables.upsert(fact_mempool(batch, known, cfg.initial_bound, cfg), MEMPOOL, ["tx_hash"], "first_seen_at")
+        merge_first_seen(batch, tables, cfg)
 
     feed = spark.readStream.schema(SCHEMAS["network_feed"]).parquet(feed_path)
     return (

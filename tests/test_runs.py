@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from dataclasses import replace
+from datetime import UTC, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +18,8 @@ from peernet.plans import runs
 from peernet.plans.hourly import earlier_counts, hourly_performance
 from peernet.plans.mempool import first_seen
 from peernet.plans.staging import stage_transactions
+from peernet.schemas import SCHEMAS
+from peernet.sources.loaders import arrived_after
 from peernet.sources.tables import Tables
 from peernet.streaming.first_seen import stream_first_seen
 from tests.util import at, feed, rows
@@ -108,3 +113,43 @@ def test_stream_equals_batch(spark, cfg, tmp_path):
     found = rows(tables.read(runs.MEMPOOL), "tx_hash", "first_seen_at")
     assert found == [("0x1", at("10:00")), ("0x2", at("09:00")), ("0x3", at("11:00"))]
     assert found == rows(first_seen(spark.read.parquet(path), cfg.initial_bound), "tx_hash", "first_seen_at")
+
+
+def test_batch_takes_late_files_like_the_stream(spark, cfg, tmp_path):
+    """An announcement weeks older than the newest sighting, in a file that came since the last run, moves a sighting back."""
+    path = f"file:{tmp_path}/feed"
+    cfg = replace(cfg, late_hours=1)
+    batches = [
+        [("10:00", "n", "p", "new_hash", ["0x1", "0x2"]), (9 * 86400, "n", "p", "new_hash", ["0x8"])],
+        [(-5 * 86400, "n", "p", "new_hash_66", ["0x2"]), (10 * 86400, "n", "p", "new_hash", ["0x1", "0x3"])],
+        [],
+        [("08:00", "n", "p", "new_hash", ["0x1", "0x9"]), (-20 * 86400, "n", "p", "new_hash", ["0x7"])],
+    ]
+    batched, streamed = Tables(spark, f"file:{tmp_path}/batch"), Tables(spark, f"file:{tmp_path}/stream")
+    for batch in batches:
+        started = datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")
+        feed(spark, batch).write.mode("append").parquet(path)
+        found = spark.read.schema(SCHEMAS["network_feed"]).parquet(path)
+        run = runs.Sources(found, *[None] * 6)
+        runs.run_mempool(run, batched, replace(cfg, run_started_at=started))
+        stream_first_seen(spark, path, streamed, f"file:{tmp_path}/checkpoint", cfg).awaitTermination()
+        left = rows(batched.read(runs.MEMPOOL), "tx_hash", "first_seen_at")
+        assert left == rows(streamed.read(runs.MEMPOOL), "tx_hash", "first_seen_at")
+    assert left == rows(first_seen(found, cfg.initial_bound), "tx_hash", "first_seen_at")
+    # The row before the initial bound stays out in both.
+    assert [r[0] for r in left] == ["0x1", "0x2", "0x3", "0x8", "0x9"] and left[1][1] == at(-5 * 86400)
+
+
+def test_files_that_came_before_are_not_opened(spark, cfg, tmp_path):
+    path = f"{tmp_path}/feed"
+    feed(spark, [("10:00", "n", "p", "new_hash", ["0x1"])]).coalesce(1).write.parquet(path)
+    (old,) = Path(path).glob("*.parquet")
+    feed(spark, [("09:00", "n", "p", "new_hash", ["0x2"])]).coalesce(1).write.mode("append").parquet(path)
+    old.write_bytes(b"rubbish")
+    old.with_name(f".{old.name}.crc").unlink()
+    os.utime(old, (1.7e9, 1.7e9))
+    found = spark.read.schema(SCHEMAS["network_feed"]).parquet(path)
+    assert rows(arrived_after(found, "2024-06-01 00:00:00"), "msg_data") == [(["0x2"],)]
+    # Rows that come from no file may all be new.
+    made = feed(spark, [("10:00", "n", "p", "new_hash", ["0x1"])])
+    assert arrived_after(made, "2024-06-01 00:00:00").count() == 1

@@ -89,6 +89,63 @@ def test_upsert_by_a_dated_key_reads_the_touched_dates(spark, tables):
     assert kept == [0, 1, 3, 4]
 
 
+def test_upsert_opens_only_the_dates_that_hold_a_key(spark, tables, tmp_path):
+    """The files of all other dates are overwritten with rubbish: whoever opens one fails."""
+    day = 86400
+    batch = lambda *data: spark.createDataFrame(list(data), "k string, t timestamp_ntz, v int")
+    # A batch a day, the NULL key on the first.
+    for i in range(6):
+        keys = [f"k{i}-{j}" for j in range(50)] + ([None] if i == 0 else [])
+        tables.upsert(batch(*[(k, at(i * day), i) for k in keys]), "t", ["k"], "t", note=f"run {i}")
+    files = {i: {f for f in tables.read("t").inputFiles() if f"_date=2024-01-{10 + i}" in f} for i in range(6)}
+    assert all(files.values())
+    for i in (1, 2, 4, 5):
+        for f in files[i]:
+            path = Path(f.removeprefix("file://").removeprefix("file:"))
+            path.write_bytes(b"rubbish")
+            path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+    wanted = batch(("k3-7", at(0), 0), (None, at(0), 0), ("new", at(0), 0))
+    held = tables.read_holding("t", wanted, ["k"])
+    assert {f.split("_date=")[1].split("/")[0] for f in held.inputFiles()} == {"2024-01-10", "2024-01-13"}
+    tables.upsert(batch(("k3-7", at(day * 7), 70), (None, at(day * 7), 71), ("new", at(day * 7), 72)), "t", ["k"], "t")
+    left = [f"_date=2024-01-{10 + i}" for i in (0, 3, 7)]
+    found = spark.read.parquet(*[f for f in tables.read("t").inputFiles() if any(d in f for d in left)])
+    assert rows(found.where("v >= 70"), "k", "v") == sorted([("k3-7", 70), (None, 71), ("new", 72)], key=repr)
+    assert found.count() == 50 + 49 + 3
+    kept = set(tables.read("t").inputFiles())
+    assert all(files[i] <= kept for i in (1, 2, 4, 5)) and not (files[0] | files[3]) & kept
+    assert rows(tables.read_newest("t"), "v") == [(70,), (71,), (72,)]
+    assert tables.note("t") == "run 5" and tables.note("none") is None
+    assert tables.read_newest("none") is None and tables.read_holding("none", wanted, ["k"]) is None
+
+
+def test_upsert_reads_dates_without_prints(spark, tables, tmp_path):
+    """A manifest that names no prints, as older ones, is read in full, once."""
+    import json
+
+    batch = lambda *data: spark.createDataFrame(list(data), "k bigint, t timestamp_ntz, v int")
+    tables.upsert(batch((1, at(0), 1), (2, at(86400), 1)), "t", ["k"], "t")
+    (path,) = Path(f"{tmp_path}/t/_manifest").glob("*.json")
+    manifest = json.loads(path.read_text())
+    assert manifest.pop("prints")
+    path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+    path.write_text(json.dumps(manifest))
+    narrow = spark.createDataFrame([(2, at(0), 5)], "k int, t timestamp_ntz, v int")
+    tables.upsert(narrow.withColumn("k", F.col("k").cast("bigint")), "t", ["k"], "t")
+    assert rows(tables.read("t"), "k", "t", "v") == [(1, at(0), 1), (2, at(0), 5)]
+    assert tables.read_holding("t", narrow, ["k"]).count() == 2  # key types are made equal before prints are
+    assert tables.read_holding("t", narrow.where("false"), ["k"]).count() == 0
+
+
+def test_key_prints_are_compact(spark, tables, tmp_path):
+    data = spark.range(200_000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("k"), F.lit("2024-01-10").cast("timestamp_ntz").alias("t")
+    )
+    tables.upsert(data, "t", ["k"], "t")
+    size = lambda kind: sum(f.stat().st_size for f in Path(f"{tmp_path}/t").glob(f"{kind}=*/*/*.parquet"))
+    assert 0 < size("_k") < 8 * 200_000 < size("_v") / 5
+
+
 def test_clustered_files_have_narrow_ranges(spark, tables):
     df = spark.range(4000).select((F.col("id") * 7919 % 4000).alias("k"))
     tables.replace(df, "t", cluster_by="k")
