@@ -37,7 +37,7 @@ from peernet.operators.sessions import high_water, late_durations, sessionize
 from peernet.operators.skew import hot_keys
 from peernet.operators.sketches import accumulate, combine, estimate
 from peernet.plans.hourly import hourly_bounds, hourly_performance, hourly_window
-from peernet.plans.mempool import fact_mempool, first_seen
+from peernet.plans.mempool import MEMPOOL, fact_mempool, first_seen, merge_first_seen
 from peernet.plans.peers import dim_peers, tracker_etherscan, tracker_ethernodes
 from peernet.plans.performance import peer_performance, public_mempool_hourly, sync_lag, version_changes
 from peernet.plans.propagation import announcement_orders, fact_hash, recent_messages
@@ -305,7 +305,7 @@ def _hex_key_join(m: Models) -> DataFrame:
 def _role_playing_join(m: Models) -> DataFrame:
     spans = m.sessions.select("peer_id", "node_id", "start_time")
     adds = m.feed.where(F.col("msg_type") == PEER_ADD).select("peer_id")
-    return join_crawlers(spans, m.peers, adds, CFG)
+    return join_crawlers(spans, m.peers, hot_keys(adds, ["peer_id"], CFG))
 
 
 def _first_seen_upsert(m: Models) -> DataFrame:
@@ -314,6 +314,16 @@ def _first_seen_upsert(m: Models) -> DataFrame:
     return fact_mempool(m.feed, known, SINCE, CFG)
 
 
+def _first_seen_increments(m: Models) -> DataFrame:
+    """The stored merge over three batches, newest first, so that sightings move back over dates."""
+    tables = m.tables()
+    parts = F.pmod(F.xxhash64("msg_timestamp"), F.lit(4))
+    late, early = F.col("msg_timestamp") > ntz(CUT), F.col("msg_timestamp") <= ntz(CUT)
+    for batch in (late & (parts > 0), early, parts == 0):
+        merge_first_seen(hash_messages(m.feed.where(batch)), tables, CFG)
+    return tables.read(MEMPOOL).drop("_date")
+
+
 def _geoip_enrich(m: Models) -> DataFrame:
     seen = tracker_addresses(m.feed, SINCE)
     rows = tracker_messages(m.feed, SINCE).select("node_id", "peer_id", "msg_timestamp", "peer_ip")
@@ -616,6 +626,7 @@ CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "hex_key_join": _hex_key_join,
     "role_playing_join": _role_playing_join,
     "first_seen_upsert": _first_seen_upsert,
+    "first_seen_increments": _first_seen_increments,
     "geoip_enrich": _geoip_enrich,
     "geoip_hot_keys": _geoip_hot_keys,
     "geoip_strict": _geoip_strict,

@@ -414,6 +414,7 @@ QUERIES: dict[str, str] = {
     "first_seen_upsert": f"""SELECT m.*, {STAMP} AS updated_at FROM mempool m LEFT JOIN (
       SELECT hash_text, min(msg_timestamp) AS t FROM announced WHERE msg_timestamp > TIMESTAMP '{CUT}' GROUP BY 1) k
       ON m.tx_hash = k.hash_text WHERE k.t IS NULL OR m.first_seen_at < k.t""",
+    "first_seen_increments": f"SELECT *, {STAMP} AS updated_at FROM mempool",
     "geoip_enrich": """SELECT node_id, peer_id, msg_timestamp, t.peer_ip, country_code AS peer_country_code,
       city AS peer_city, subdivision AS peer_subdivision FROM trackers t LEFT JOIN places p ON t.peer_ip = p.peer_ip""",
     "sync_gap": "SELECT * FROM gaps",

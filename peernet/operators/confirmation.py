@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from peernet.config import HASH_TYPES, RunConfig, ntz
 from peernet.functions.scalars import hex_to_bytes
-from peernet.operators.skew import hot_keys, salted_join
+from peernet.operators.skew import HotKeys, hot_keys, salted_join
 
 
 def hash_messages(feed: DataFrame) -> DataFrame:
@@ -27,11 +27,17 @@ def block_times(transactions: DataFrame) -> DataFrame:
 
 
 def preconfirmation_join(
-    announced: DataFrame, transactions: DataFrame, how: str, cfg: RunConfig, after: str | None = None
+    announced: DataFrame,
+    transactions: DataFrame,
+    how: str,
+    cfg: RunConfig,
+    after: str | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Announcements with the block times after them. `how='left'` keeps the others, with NULL copies.
 
     `after` is a time that no announcement lies before: earlier blocks confirm none, so they are not read.
+    `hot` are the hot hashes, where the caller has looked for them already.
     """
     if after is not None:
         transactions = transactions.where(F.col("blk_timestamp") > ntz(after))
@@ -40,7 +46,7 @@ def preconfirmation_join(
         block_times(transactions),
         ["tx_hash"],
         how,
-        hot_keys(announced, ["tx_hash"], cfg),
+        hot_keys(announced, ["tx_hash"], cfg) if hot is None else hot,
         ["msg_timestamp"],
         residual=F.col("msg_timestamp") < F.col("blk_timestamp"),
     )

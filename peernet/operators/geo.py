@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from peernet.config import RunConfig
 from peernet.functions.scalars import ipv4_number
-from peernet.operators.skew import hot_keys, salted_join
+from peernet.operators.skew import HotKeys, hot_keys, salted_join
 
 _WIDEST = 16  # log2 of the widest piece, a /16 network
 
@@ -57,13 +57,20 @@ def checked_address(ip: Column) -> Column:
 
 
 def geoip_enrich(
-    rows: DataFrame, ip: str, blocks: DataFrame, cfg: RunConfig, seen: DataFrame, spread: list[str], strict: bool = False
+    rows: DataFrame,
+    ip: str,
+    blocks: DataFrame,
+    cfg: RunConfig,
+    seen: DataFrame,
+    spread: list[str],
+    strict: bool = False,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add peer_country_code, peer_city and peer_subdivision, NULL where no block covers the address.
 
     `seen` is a cheap frame holding the `ip` column (the feed's own), used to find the distinct and the hot addresses
     without computing `rows` twice. With `strict`, NULL only means that no block was found: a text that is no address is
-    an error.
+    an error. `hot` are the hot addresses, where the caller has looked for them already.
     """
     if strict:
         rows = rows.withColumn(ip, checked_address(F.col(ip)))
@@ -73,4 +80,4 @@ def geoip_enrich(
         F.col("city").alias("peer_city"),
         F.col("subdivision").alias("peer_subdivision"),
     )
-    return salted_join(rows, places, [ip], "left", hot_keys(seen, [ip], cfg), spread)
+    return salted_join(rows, places, [ip], "left", hot_keys(seen, [ip], cfg) if hot is None else hot, spread)

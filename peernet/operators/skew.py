@@ -9,6 +9,7 @@ number of pieces, and a join without hot keys stays a plain one. A missed or sur
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -22,17 +23,46 @@ NULL_PIECES = 1024
 
 def hot_keys(rows: DataFrame, keys: list[str], cfg: RunConfig) -> HotKeys:
     """Fingerprints of the hot keys, each with the number of pieces of about `hot_min_rows` rows to cut it into."""
+    return hot_key_sets(rows, {"": (keys, F.lit(True))}, cfg)[""]
+
+
+def hot_key_sets(
+    rows: DataFrame,
+    keys: dict[str, tuple[list, Column]],
+    cfg: RunConfig,
+    unfold: Callable[[DataFrame], DataFrame] | None = None,
+) -> dict[str, HotKeys]:
+    """The hot keys of several joins, in one pass: per name its key columns, and which rows have such a key.
+
+    `unfold` makes the rows that are joined out of the sampled ones, where each holds several.
+    """
     if cfg.hot_sample < 1:
         rows = rows.sample(cfg.hot_sample, seed=1)
-    top = F.call_function("approx_top_k", F.xxhash64(*keys), F.lit(cfg.hot_limit), F.lit(10 * cfg.hot_limit))
-    seen = rows.agg(top.alias("top"))
+    if unfold is not None:
+        rows = unfold(rows)
+    prints = [F.when(wanted, F.xxhash64(*columns)).alias(f"_p{i}") for i, (columns, wanted) in enumerate(keys.values())]
+    sketch = "approx_top_k(_p{i}, {k}, {size}) FILTER (WHERE _p{i} IS NOT NULL)"
+    tops = [F.expr(sketch.format(i=i, k=cfg.hot_limit, size=10 * cfg.hot_limit)).alias(f"_t{i}") for i in range(len(keys))]
+    seen = rows.select(*prints).agg(*tops)
     piece = F.lit(max(cfg.hot_min_rows * cfg.hot_sample, 1.0))
-    hot = (
-        seen.select(F.inline("top").alias("key_print", "ct"))
-        .where(F.col("ct") > piece)
-        .select("key_print", F.ceil(F.col("ct") / piece).cast("int"))
-    )
-    return dict(hot.take(cfg.hot_limit))
+
+    def large(i: int) -> Column:
+        pieces = F.transform(
+            f"_t{i}",
+            lambda x: F.struct(
+                F.lit(i).alias("i"),
+                x["item"].alias("key_print"),
+                F.when(x["count"] > piece, F.ceil(x["count"] / piece).cast("int")).alias("pieces"),
+            ),
+        )
+        return F.filter(pieces, lambda x: x["pieces"].isNotNull())
+
+    found: dict[str, HotKeys] = {name: {} for name in keys}
+    names = list(keys)
+    hot = seen.select(F.inline(F.concat(*[large(i) for i in range(len(names))])))
+    for i, key_print, pieces in hot.take(cfg.hot_limit * len(names)):
+        found[names[i]][key_print] = pieces
+    return found
 
 
 def salted_join(

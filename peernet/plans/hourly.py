@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from peernet.config import RunConfig, ntz
 from peernet.functions.scalars import div0, minutes_crossed, null_greatest, null_least, time_bucket
 from peernet.operators.confirmation import explode_hashes, hash_messages, preconfirmation_join
-from peernet.operators.intervals import hour_slices, hourly_keys, in_closed_hours, points_in_hour_slices, slices_from
-from peernet.operators.skew import hot_keys
+from peernet.operators.intervals import hour_slices, in_closed_hours, points_in_hour_slices, slices_from
+from peernet.operators.skew import hot_key_sets
 
 # A slice is determined by these; its other columns are derived again after the aggregation, to shuffle less.
 SLICE = ["peer_id", "node_id", "session_hour", "start_time", "end_time"]
@@ -41,6 +41,12 @@ def hourly_window(
     return start, end
 
 
+def announcements(messages: DataFrame) -> DataFrame:
+    return explode_hashes(messages, "peer_id", "node_id", "msg_timestamp").select(
+        "peer_id", "node_id", "msg_timestamp", "tx_hash"
+    )
+
+
 def hour_counts(
     feed: DataFrame,
     slices: DataFrame,
@@ -59,18 +65,17 @@ def hour_counts(
     with messages, whether or not a session holds it; their start_time is NULL.
     """
     messages = hash_messages(feed).where(F.col("msg_timestamp").between(ntz(reach), ntz(hi)))
-    announced = explode_hashes(messages, "peer_id", "node_id", "msg_timestamp").select(
-        "peer_id", "node_id", "msg_timestamp", "tx_hash"
-    )
-    marked = preconfirmation_join(announced, transactions, "left", cfg, after=reach).select(
+    announced = announcements(messages)
+    keys = {"hash": (["tx_hash"], F.lit(True)), "hour": (["peer_id", "node_id", "session_hour"], F.lit(True))}
+    hot = hot_key_sets(messages, keys, cfg, lambda rows: in_closed_hours(announcements(rows)))
+    marked = preconfirmation_join(announced, transactions, "left", cfg, after=reach, hot=hot["hash"]).select(
         "peer_id",
         "node_id",
         "msg_timestamp",
         F.when(F.col("copies").isNotNull(), F.col("tx_hash")).alias("confirmed_hash"),
         F.coalesce("copies", F.lit(1)).alias("messages"),
     )
-    hot = hot_keys(hourly_keys(messages), ["peer_id", "node_id", "session_hour"], cfg)
-    matched = points_in_hour_slices(marked, slices, hot).select(*SLICE, "messages", "confirmed_hash")
+    matched = points_in_hour_slices(marked, slices, hot["hour"]).select(*SLICE, "messages", "confirmed_hash")
     silent = slices.select(*SLICE, F.lit(0).cast("bigint").alias("messages"), F.lit(None).cast("binary").alias("confirmed_hash"))
     counted = matched.unionByName(silent)
     if cells_from is not None:

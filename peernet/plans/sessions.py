@@ -21,7 +21,7 @@ from peernet.functions.scalars import (
 from peernet.operators.geo import geoip_enrich
 from peernet.operators.relational import first_per_minute
 from peernet.operators.sessions import PAIR, late_durations, sessionize
-from peernet.operators.skew import hot_keys, salted_join
+from peernet.operators.skew import HotKeys, hot_key_sets, salted_join
 
 LOOK_BACK = "interval 14 hours"
 
@@ -30,6 +30,19 @@ def _feed_since(feed: DataFrame, kind: str, since: str | None) -> DataFrame:
     return feed.where((F.col("msg_timestamp") > ntz(since) - F.expr(LOOK_BACK)) & (F.col("msg_type") == kind))
 
 
+def hot_session_keys(feed: DataFrame, since: str | None, cfg: RunConfig) -> dict[str, HotKeys]:
+    """Hot head blocks, addresses and peers of the messages that sessions are made of, in one pass over them."""
+    kind, part = F.col("msg_type"), lambda i: F.get("msg_data", F.lit(i))
+    messages = feed.where((F.col("msg_timestamp") > ntz(since) - F.expr(LOOK_BACK)) & kind.isin(HANDSHAKE, NODE_TRACKER, PEER_ADD))
+    keys = {
+        "head_block_hash": ([part(3)], kind == HANDSHAKE),
+        "local_block_hash": ([part(4)], kind == HANDSHAKE),
+        "peer_ip": ([address_host(part(4))], kind == NODE_TRACKER),
+        "peer_id": ([F.col("peer_id")], (kind == PEER_ADD) & (F.col("msg_timestamp") > ntz(since))),
+    }
+    return hot_key_sets(messages, keys, cfg)
+
+
 def handshakes(feed: DataFrame, since: str | None) -> DataFrame:
     """Main-net handshakes with the head the peer reports and the local one."""
     return (
@@ -46,7 +59,9 @@ def handshakes(feed: DataFrame, since: str | None) -> DataFrame:
     )
 
 
-def sync_gap(feed: DataFrame, block_header: DataFrame, since: str | None, cfg: RunConfig) -> DataFrame:
+def sync_gap(
+    feed: DataFrame, block_header: DataFrame, since: str | None, cfg: RunConfig, hot: dict[str, HotKeys] | None = None
+) -> DataFrame:
     """First handshake per node, peer and minute, with the blocks behind its two hashes.
 
     The first handshake is chosen before the lookups, so only those rows are joined. A hash that several headers share
@@ -54,6 +69,8 @@ def sync_gap(feed: DataFrame, block_header: DataFrame, since: str | None, cfg: R
     """
     head, local = F.col("head_block_hash"), F.col("local_block_hash")
     shaken = handshakes(feed, since)
+    if hot is None:
+        hot = hot_key_sets(shaken, {c: ([c], F.lit(True)) for c in ("head_block_hash", "local_block_hash")}, cfg)
     blocks = (
         block_header.where(F.col("blk_hash").isNotNull())
         .groupBy(bytes_to_hex(F.col("blk_hash")).alias("hash"))
@@ -62,7 +79,7 @@ def sync_gap(feed: DataFrame, block_header: DataFrame, since: str | None, cfg: R
 
     def numbered(rows: DataFrame, column: str, name: str) -> DataFrame:
         named = blocks.select(F.col("hash").alias(column), F.col("number").alias(name))
-        return salted_join(rows, named, [column], "left", hot_keys(shaken, [column], cfg), [*PAIR, "msg_timestamp"])
+        return salted_join(rows, named, [column], "left", hot[column], [*PAIR, "msg_timestamp"])
 
     first = first_per_minute(shaken, PAIR, "msg_timestamp")
     both = numbered(numbered(first, "head_block_hash", "head_block"), "local_block_hash", "local_block")
@@ -128,9 +145,8 @@ CRAWLER_COLUMNS = {
 }
 
 
-def join_crawlers(sessions: DataFrame, dim_peers: DataFrame, seen: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Both roles of the peer dimension, side by side; `seen` holds the peer_id column of the feed."""
-    hot = hot_keys(seen, ["peer_id"], cfg)
+def join_crawlers(sessions: DataFrame, dim_peers: DataFrame, hot: HotKeys) -> DataFrame:
+    """Both roles of the peer dimension, side by side; `hot` are the hot peers."""
     for source, columns in CRAWLER_COLUMNS.items():
         role = dim_peers.where(F.col("source") == source).select(
             F.col("node_id").alias("peer_id"), *[F.col(c).alias(f"{source}_{c}") for c in columns]
@@ -176,13 +192,13 @@ def fact_peer_session(
     )
     spans = sessionize(feed, cfg, since, open_sessions)
     told = join_same_minute(spans, tracker_messages(feed, since))
-    told = join_same_minute(told, sync_gap(feed, block_header, since, cfg))
+    hot = hot_session_keys(feed, since, cfg)
+    told = join_same_minute(told, sync_gap(feed, block_header, since, cfg, hot))
     placed = geoip_enrich(
-        told, "peer_ip", geo_blocks, cfg, tracker_addresses(feed, since), [*PAIR, "start_time"]
+        told, "peer_ip", geo_blocks, cfg, tracker_addresses(feed, since), [*PAIR, "start_time"], hot=hot["peer_ip"]
     )
     placed = placed.join(country, "peer_country_code", "left")
-    peers = feed.where((F.col("msg_type") == PEER_ADD) & (F.col("msg_timestamp") > ntz(since))).select("peer_id")
-    known = join_crawlers(placed, dim_peers, peers, cfg)
+    known = join_crawlers(placed, dim_peers, hot["peer_id"])
     if open_sessions is not None:
         known = keep_told(known, open_sessions)
     updates = known.select(

@@ -18,7 +18,7 @@ from peernet.operators.intervals import (
     points_in_intervals,
     slices_from,
 )
-from peernet.operators.skew import hot_keys, salted_join
+from peernet.operators.skew import hot_key_sets, hot_keys, salted_join
 from tests.util import at, plan_of, rows
 
 SPAN = "peer_id string, node_id string, start_time timestamp_ntz, end_time timestamp_ntz"
@@ -193,3 +193,48 @@ def test_locate_most_specific(spark, cfg):
     assert strict.where("ip is null or ip = ''").where("peer_city is null").count() == 2
     with pytest.raises(Exception, match="not an address: bad"):
         geoip_enrich(seen, "ip", frame, cfg, seen, [], strict=True).collect()
+
+
+def test_hot_keys_of_several_joins_come_from_one_pass(spark, cfg):
+    every = replace(cfg, hot_limit=50, hot_min_rows=10, hot_sample=1.0)
+    data = spark.range(1000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id")).alias("a"),
+        F.when(F.col("id") % 5 == 0, F.lit(None).cast("bigint")).otherwise(F.col("id") % 4).alias("b"),
+        (F.col("id") % 3).alias("c"),
+    )
+    wanted = F.col("c") == 0
+    keys = {"a": (["a"], F.lit(True)), "ab": (["a", "b"], F.lit(True)), "none": (["a"], F.lit(False)), "c": (["b"], wanted)}
+    found = hot_key_sets(data, keys, every)
+    assert found["a"] == hot_keys(data, ["a"], every) and len(found["a"]) == 1
+    assert found["ab"] == hot_keys(data, ["a", "b"], every) and len(found["ab"]) > 1
+    assert found["c"] == hot_keys(data.where(wanted), ["b"], every) and len(found["c"]) == 5  # NULL is a key like others
+    assert found["none"] == {}
+    assert hot_key_sets(data.where("false"), keys, every) == dict.fromkeys(keys, {})
+
+
+def test_each_model_looks_for_hot_keys_once(spark, cfg, sf_dir, monkeypatch):
+    from checks.catalog import CFG, Models
+    from peernet.operators import skew
+    from peernet.plans import hourly, sessions
+
+    passes = []
+
+    def counted(rows, keys, *rest):
+        passes.append(sorted(keys))
+        return hot_key_sets(rows, keys, *rest)
+
+    for module in (skew, hourly, sessions):
+        monkeypatch.setattr(module, "hot_key_sets", counted)
+    m = Models(spark, sf_dir)
+    every = replace(CFG, hot_min_rows=5, hot_sample=1.0)
+    assert all(sessions.hot_session_keys(m.feed, CFG.initial_bound, every).values())
+    passes.clear()
+    found = sessions.fact_peer_session(
+        m.feed, m.block_header, m.geo_blocks, m.country_code, m.peers, every, CFG.initial_bound
+    )
+    assert passes == [["head_block_hash", "local_block_hash", "peer_id", "peer_ip"]]
+    assert rows(found) == rows(m.fact_sessions)
+    passes.clear()
+    found = hourly.hourly_performance(m.feed, m.built_spans, m.staged, *m.bounds, every)
+    assert passes == [["hash", "hour"]]
+    assert rows(found) == rows(m.hourly)
