@@ -128,12 +128,20 @@ def high_water(sessions: DataFrame) -> DataFrame:
     )
 
 
-def session_watermark(target: DataFrame | None, cfg: RunConfig) -> str | None:
-    """Where the next increment starts. Without a closed session there is no bound, so the increment reads nothing."""
+def session_watermark(
+    target: DataFrame | None, cfg: RunConfig, newest: tuple[str | None, str | None] | None = None
+) -> str | None:
+    """Where the next increment starts. Without a closed session there is no bound, so the increment reads nothing.
+
+    `newest` are the largest start and end, where they are known without reading the target.
+    """
     if target is None:
         return cfg.initial_bound
-    row = high_water(target).select(F.col("high_water").cast("string")).first()
-    bound = row[0] if row else None
+    if newest is None:
+        row = high_water(target).select(F.col("high_water").cast("string")).first()
+        bound = row[0] if row else None
+    else:
+        bound = None if None in newest else max(newest)
     if bound is None:
         warnings.warn("no closed session yet: this increment reads no events", stacklevel=2)
     return bound

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,14 @@ def first_seen(feed: DataFrame, since: str | None) -> DataFrame:
     )
 
 
+def stored_watermark(tables: Tables, cfg: RunConfig) -> str | None:
+    """`mempool_watermark` of the stored table, from its manifest alone."""
+    _, newest = tables.bounds(MEMPOOL, "first_seen_at")
+    if newest is None:
+        return cfg.initial_bound
+    return str(datetime.fromisoformat(newest) - timedelta(hours=cfg.late_hours))
+
+
 def mempool_watermark(target: DataFrame | None, cfg: RunConfig) -> str | None:
     """The newest first sighting of the target, less the time that announcements may be late by. A target without rows
     yet is like none."""

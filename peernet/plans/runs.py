@@ -15,7 +15,7 @@ from peernet.operators.ledger import assert_no_running, incremental_models, mark
 from peernet.operators.sessions import session_watermark
 from peernet.operators.intervals import hour_slices
 from peernet.plans.hourly import CELL, cells_of, earlier_counts, hour_counts, hour_rows, hourly_window
-from peernet.plans.mempool import MEMPOOL, arrivals, mempool_watermark, merge_first_seen
+from peernet.plans.mempool import MEMPOOL, arrivals, merge_first_seen, stored_watermark
 from peernet.plans.peers import dim_peers, tracker_etherscan, tracker_ethernodes
 from peernet.plans.performance import peer_performance
 from peernet.plans.propagation import fact_hash
@@ -75,10 +75,9 @@ def run_mempool(sources: Sources, tables: Tables, cfg: RunConfig) -> None:
     A file written up to `late_hours` before the last run's start is looked at again: the clocks may differ, and a merge
     that sees a row twice changes nothing.
     """
-    newest = tables.read_newest(MEMPOOL)
     last_run = tables.note(MEMPOOL)
     arrived = last_run and str(datetime.fromisoformat(last_run) - timedelta(hours=cfg.late_hours))
-    messages = arrivals(sources.feed, mempool_watermark(newest, cfg), arrived, cfg)
+    messages = arrivals(sources.feed, stored_watermark(tables, cfg), arrived, cfg)
     merge_first_seen(messages, tables, cfg, note=cfg.run_started_at)
 
 
@@ -94,7 +93,8 @@ def run_peer_sessions(
         cluster_by="node_id",
     )
     target = tables.read(SESSIONS)
-    since = session_watermark(target, cfg)
+    ends = tables.bounds(SESSIONS, "start_time")[1], tables.bounds(SESSIONS, "end_time")[1]
+    since = session_watermark(target, cfg, ends)
     updates = fact_peer_session(
         sources.feed, sources.block_header, sources.geo_blocks, sources.country_code, peers, cfg, since, target
     )
@@ -102,7 +102,7 @@ def run_peer_sessions(
     tables.upsert(updates, SESSIONS, key, "start_time", cluster_by="peer_id")
 
     sessions, transactions = tables.read(SESSIONS), tables.read(TRANSACTIONS)
-    lo, hi = hourly_window(tables.read_newest(HOURLY), sessions, transactions, cfg)
+    lo, hi = hourly_window(tables.read_newest(HOURLY), tables.read_newest(SESSIONS), transactions, cfg)
     update_hours(sources.feed, sessions, transactions, tables, lo, hi, cfg)
     performance = peer_performance(tables.read(HOURLY), sessions, tables.read(MEMPOOL), transactions, cfg)
     tables.replace(performance, PERFORMANCE, cluster_by="peer_id")
@@ -122,7 +122,7 @@ def update_hours(
     first_cell = full.first()[0]
     slices, reach, earlier = hour_slices(sessions, lo, hi), lo, None
     if cells is not None and known is not None:
-        since = cells.agg(F.min("cells_from").cast("string")).first()[0] or lo
+        since = tables.bounds(HOUR_CELLS, "cells_from")[0] or lo
         earlier, rest = earlier_counts(sessions, lo, hi, cells, known, since)
         oldest = rest.agg(F.min("session_hour").cast("string")).first()[0]
         if oldest is not None:

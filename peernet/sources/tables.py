@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -102,6 +102,31 @@ class Tables:
             return None
         return self._read_dates(name, manifest, self._dates_holding(name, manifest, rows, keys))
 
+    def bounds(self, name: str, column: str) -> tuple[str | None, str | None]:
+        """Smallest and largest value, as text, of a timestamp column of an upserted table, from its manifest alone.
+
+        (None, None) before its first value. Dates whose manifest holds no bounds, as older ones, are read.
+        """
+        manifest = self._manifest(name)
+        if manifest is None:
+            return None, None
+        kept = dict(manifest.get("bounds", {}))
+        missing = [day for day in manifest["dates"] if day not in kept]
+        if missing:
+            kept |= self._bounds_of(self._read_dates(name, manifest, missing))
+        found = [kept[day][column] for day in manifest["dates"]]
+        lows, highs = [lo for lo, _ in found if lo is not None], [hi for _, hi in found if hi is not None]
+        return min(lows, default=None), max(highs, default=None)
+
+    def _bounds_of(self, rows: DataFrame) -> dict[str, dict[str, list[str | None]]]:
+        """Per date, the bounds of every timestamp column: one row per date."""
+        columns = [f.name for f in rows.schema.fields if isinstance(f.dataType, (TimestampType, TimestampNTZType))]
+        aggs = [f(c).cast("string") for c in columns for f in (F.min, F.max)]
+        return {
+            str(day): {c: [values[2 * i], values[2 * i + 1]] for i, c in enumerate(columns)}
+            for day, *values in rows.groupBy("_date").agg(*aggs or [F.count(F.lit(1))]).collect()
+        }
+
     def note(self, name: str) -> str | None:
         """What the last upsert of a table left as its note."""
         return (self._manifest(name) or {}).get("note")
@@ -176,7 +201,8 @@ class Tables:
 
         Where `date_of` is no key, a replaced row may be of any date. So each date keeps the 64-bit prints of its keys,
         sorted and delta-coded, in a folder of their own: the update meets these, and of the rows only those of dates
-        that (but for a clash of prints, which changes nothing) hold one of its keys are read.
+        that (but for a clash of prints, which changes nothing) hold one of its keys are read. The manifest also holds
+        each date's bounds of the timestamp columns, so that watermarks read no rows.
         """
         staging = self.staging(name)
         try:
@@ -210,7 +236,12 @@ class Tables:
         folders = {day: folder for day, folder in folders.items() if day not in dates} | written
         prints = {day: folder for day, folder in prints.items() if day not in dates}
         note = note or (last or {}).get("note")
-        manifest = {"schema": merged.schema.jsonValue(), "dates": folders, "prints": prints, "note": note}
+        bounds = {day: b for day, b in (last or {}).get("bounds", {}).items() if day not in dates}
+        manifest = {
+            "schema": merged.schema.jsonValue(), "dates": folders, "prints": prints, "bounds": bounds, "note": note,
+        }
+        if written:
+            bounds |= self._bounds_of(self._read_dates(name, manifest, sorted(written)))
         if written and date_of not in keys:
             rows = self._read_dates(name, manifest, sorted(written)).select(F.xxhash64(*keys).alias("_print"), "_date")
             rows = rows.repartitionByRange("_date", "_print").sortWithinPartitions("_date", "_print")

@@ -137,6 +137,34 @@ def test_upsert_reads_dates_without_prints(spark, tables, tmp_path):
     assert tables.read_holding("t", narrow.where("false"), ["k"]).count() == 0
 
 
+def test_bounds_come_from_the_manifest(spark, tables, tmp_path):
+    import json
+
+    schema = "k string, t timestamp_ntz, u timestamp, v int"
+    batch = lambda *data: spark.createDataFrame(list(data), schema)
+    day = 86400
+    assert tables.bounds("t", "t") == (None, None)
+    tables.upsert(batch(("a", at(0.25), None, 1), ("b", at(day), None, 1), ("n", None, None, 1)), "t", ["k"], "t")
+    assert tables.bounds("t", "u") == (None, None)
+    tables.upsert(batch(("b", at(2 * day + 0.5), at(7), 2), ("c", at(2 * day + 0.25), at(8), 2)), "t", ["k"], "t")
+    expected = {"t": ("2024-01-10 00:00:00.25", "2024-01-12 00:00:00.5"), "u": ("2024-01-10 00:00:07", "2024-01-10 00:00:08")}
+    assert {c: tables.bounds("t", c) for c in expected} == expected
+    plain = tables.read("t").agg(F.min("t").cast("string"), F.max("t").cast("string")).first()
+    assert tuple(plain) == expected["t"]
+    newest = sorted(Path(f"{tmp_path}/t/_manifest").glob("*.json"))[-1]
+    manifest = json.loads(newest.read_text())
+    del manifest["bounds"]
+    newest.with_name(f".{newest.name}.crc").unlink(missing_ok=True)
+    newest.write_text(json.dumps(manifest))
+    assert {c: tables.bounds("t", c) for c in expected} == expected  # an older manifest: the rows are read
+    for f in tables.read("t").inputFiles():
+        Path(f.removeprefix("file://").removeprefix("file:")).write_bytes(b"rubbish")
+    tables.upsert(batch(("z", at(9 * day), at(9), 3)), "new", ["k"], "t")
+    for f in tables.read("new").inputFiles():
+        Path(f.removeprefix("file://").removeprefix("file:")).write_bytes(b"rubbish")
+    assert tables.bounds("new", "t")[1] == "2024-01-19 00:00:00"
+
+
 def test_key_prints_are_compact(spark, tables, tmp_path):
     data = spark.range(200_000).select(
         F.sha2(F.col("id").cast("string"), 256).alias("k"), F.lit("2024-01-10").cast("timestamp_ntz").alias("t")
