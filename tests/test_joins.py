@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from peernet.operators.geo import block_pieces, geoip_enrich, locate
 from peernet.operators.intervals import (
+    filled_days,
     hour_slices,
     hourly_keys,
     points_in_hour_slices,
@@ -57,6 +58,24 @@ def test_hour_slices_and_points(spark, cfg):
     assert any(p[2].minute == 0 and p[2].second == 0 for p in points)
 
 
+@pytest.mark.parametrize("whole", [False, True])
+@pytest.mark.parametrize("lo, hi", [("2024-01-10 02:00:00", "2024-01-11 22:00:00"), ("2024-01-10 02:30:00", "2024-01-11 01:30:00")])
+def test_edges_and_filled_days_are_all_slices(spark, lo, hi, whole):
+    """Filled hours come as one row per session and day, the others as at most two rows per session."""
+    spans, _ = random_world(2)
+    long = [("r", "n", at("05:00"), at("05:00") + timedelta(hours=30)), (None, "n", at("00:10"), at("23:10"))]
+    sessions = spark.createDataFrame(spans + long + long[:1], SPAN)
+    key = ["peer_id", "start_time", "end_time", "session_hour"]
+    edges = hour_slices(sessions, lo, hi, whole, edges=True)
+    days = filled_days(sessions, lo, hi, whole)
+    assert edges.count() <= 2 * sessions.count()
+    assert all(r.session_hour.date() == r.last_hour.date() for r in days.collect())
+    hours = F.explode(F.sequence("session_hour", "last_hour", F.expr("interval 1 hour")))
+    filled = days.withColumn("_hour", hours).drop("session_hour").withColumnRenamed("_hour", "session_hour")
+    assert filled.count() > 3 * days.count()
+    assert rows(edges.select(*key).unionByName(filled.select(*key))) == rows(hour_slices(sessions, lo, hi, whole), *key)
+
+
 def test_hour_boundary_counts_twice(spark):
     sessions = spark.createDataFrame([("p", "n", at("01:30"), at("03:30"))], SPAN)
     slices = hour_slices(sessions, "2024-01-10 00:00:00", "2024-01-11 00:00:00")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -276,3 +277,43 @@ def test_undersampled_keeps_unknown_regions(spark, cfg):
         ("Asia", "k@1.1.1.1:1", 5), ("Asia", None, 9), ("unknown", None, 1),
     ]
     assert rows(undersampled_peers(hourly, facts, late, k=1), "hash_ct") == [(1,), (5,)]
+
+
+def shuffled_rows(df):
+    """Rows of the result, and rows that its exchanges have written."""
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled")
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df.toDF(*df.columns)._jdf.queryExecution().executedPlan()
+        result = plan.executeCollect()
+        todo, total = [plan], 0
+        while todo:
+            node = todo.pop()
+            written = node.metrics().get("shuffleRecordsWritten")
+            total += written.get().value() if written.isDefined() else 0
+            todo += [node.children().apply(i) for i in range(node.children().length())]
+        return len(result), total
+    finally:
+        df.sparkSession.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_session_hours_are_not_shuffled(spark, cfg):
+    """A session of forty days moves as a row a day; its hours are made after the last exchange, with counts at both edges,
+    inside, and doubled for a session that is stored twice."""
+    month = (at("00:20"), at("00:20") + timedelta(days=40))
+    spans = spark.createDataFrame(
+        [("p", "n", *month), ("q", "n", *month), ("q", "n", *month), (None, "n", *month)],
+        "peer_id string, node_id string, start_time timestamp_ntz, end_time timestamp_ntz",
+    )
+    messages = feed(spark, [
+        ("00:30", "n", "p", "new_hash", ["0x01"]), ("05:00", "n", "p", "new_hash", ["0x01", "0x02"]),
+        ("05:10", "n", "q", "new_hash", ["0x01"]), ("05:10", "n", None, "new_hash", ["0x01"]),
+    ])
+    blocks = spark.createDataFrame([(bytes([1]), at("06:00"))], "tx_hash binary, blk_timestamp timestamp_ntz")
+    found = hourly_performance(messages, spans, blocks, "2024-01-01 00:00:00", "2024-03-01 00:00:00", cfg)
+    counts = ["total_hash_count", "confirmed_distinct_tx_count"]
+    assert rows(found.where("total_hash_count > 0"), "peer_id", "session_hour", *counts) == [
+        ("p", at("00:00"), 1, 1), ("p", at("04:00"), 2, 1), ("p", at("05:00"), 2, 1), ("q", at("05:00"), 2, 1),
+    ]
+    hours, moved = shuffled_rows(found)
+    assert hours == 3 * (40 * 24 + 1) and moved < hours / 5
