@@ -90,6 +90,17 @@ def test_an_increment_reads_the_messages_of_its_window_alone(spark, cfg, sf_dir,
     assert rest.count() == 0
 
 
+def test_only_edges_of_sessions_are_staged(spark, cfg, sf_dir, tmp_path):
+    """Hours that a session fills are made as they are written; what is staged before holds two hours of it at most."""
+    inputs, tables = Inputs(spark, sf_dir), Tables(spark, f"file:{tmp_path}/t")
+    start, end = ntz("2024-01-01 00:20:00"), ntz("2024-01-28 05:07:00")
+    spans = inputs.feed.select("peer_id", "node_id", start.alias("start_time"), end.alias("end_time")).distinct()
+    tx = stage_transactions(inputs.transactions, cfg)
+    runs.update_hours(inputs.feed, spans, tx, tables, "2024-01-01 00:00:00", "2024-01-30 00:00:00", cfg)
+    staged = tables.read_replaced(runs.HOUR_COUNTS).where(F.col("start_time").isNotNull())
+    assert staged.count() == 2 * spans.count() and tables.read(runs.HOURLY).count() == (27 * 24 + 6) * spans.count()
+
+
 def test_unfinished_run_blocks_the_next(spark, cfg, sf_dir, tmp_path):
     tables = Tables(spark, f"file:{tmp_path}/t")
     inputs = sources(Inputs(spark, sf_dir))

@@ -43,6 +43,33 @@ def test_append(spark, tables):
     assert rows(tables.read("t"), "id") == [(0,), (0,), (1,), (1,), (2,), (2,)]
 
 
+def test_folded_rows_are_upserted(spark, tables):
+    """Rows of one day move folded, and replace rows by key on dates that have some; copies and null keys stay."""
+    moved = []
+
+    def unfold(folded):
+        moved.append(folded.count())
+        hours = F.sequence("t", "until", F.expr("interval 1 hour"))
+        others = [c for c in folded.columns if c == "_date"]
+        return folded.withColumn("_t", F.explode(hours)).select("k", F.col("_t").alias("t"), "v", *others)
+
+    def put(*data):
+        folded = spark.createDataFrame([(k, at(t), at(u), v) for k, t, u, v in data], "k string, t timestamp_ntz, until timestamp_ntz, v int")
+        tables.upsert(folded, "t", ["k", "t"], "t", unfold=unfold)
+
+    put(("b", "00:00", "23:00", 1), ("a", "00:00", "23:00", 1), ("a", "00:00", "23:00", 1), (None, "03:00", "03:00", 1))
+    assert tables.read("t").count() == 73 and max(moved) == 4
+    put(("a", "22:00", "23:00", 2), ("a", "24:00", "26:00", 2), (None, "03:00", "04:00", 2), ("c", "01:00", "01:00", 2))
+    found = tables.read("t")
+    expected = [("b", at(f"{h}:00"), 1) for h in range(24)] + [("a", at(f"{h}:00"), 1) for h in range(22)] * 2
+    expected += [("a", at(f"{h}:00"), 2) for h in range(22, 27)]
+    expected += [(None, at("03:00"), 2), (None, at("04:00"), 2), ("c", at("01:00"), 2)]
+    assert rows(found, "k", "t", "v") == sorted(expected, key=repr)
+    assert tables.bounds("t", "t") == (str(at("00:00")), str(at("26:00")))
+    with pytest.raises(ValueError):
+        tables.upsert(found, "t", ["k"], "t", unfold=unfold)
+
+
 def test_upsert_moves_rows_between_dates(spark, tables):
     def batch(*data):
         return spark.createDataFrame(list(data), "k string, t timestamp_ntz, v int")
