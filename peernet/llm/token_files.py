@@ -149,6 +149,19 @@ class Reader:
             start += n
 
 
+class _Known(dict[str, bytes]):
+    """Chunk -> its ids, encoded when first asked for."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.encode = tokenizer.encode_batch_fast
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.encode([chunk], add_special_tokens=False)[0].ids
+        found = self[chunk] = array("I", ids).tobytes()  # four bytes each, in the order of the machine
+        return found
+
+
 class CachedEncoder:
     """Exactly the ids of `tokenizer.encode(text, add_special_tokens=False)`, with chunks of a text encoded once.
 
@@ -171,29 +184,18 @@ class CachedEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.max_chunks = max_chunks
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self.tokenizer)
 
-    def _learn(self, chunks: list[str]) -> None:
-        for chunk, found in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False), strict=True):
-            self.known[chunk] = array("I", found.ids).tobytes()  # four bytes each, in the order of the machine
+    def _ids(self, text: str) -> np.ndarray:
+        if any(c in text for c in self.ODD_SPACE) or any(s in text for s in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        if len(self.known) >= self.max_chunks:
+            self.known.clear()
+        # The chunks of one text at a time, so that they are looked up while the processor's caches still hold them.
+        return np.frombuffer(b"".join(map(self.known.__getitem__, self.CHUNK.findall(text))), np.uint32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut: list[list[str] | None] = []
-        for text in texts:
-            odd = any(c in text for c in self.ODD_SPACE) or any(s in text for s in self.special)
-            cut.append(None if odd else self.CHUNK.findall(text))
-        every = set().union(*(c for c in cut if c))
-        new = every.difference(self.known)
-        if len(self.known) + len(new) > self.max_chunks:
-            self.known, new = {}, every
-        self._learn(list(new))
-        get = self.known.__getitem__
-        return [
-            np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            if chunks is None
-            else np.frombuffer(b"".join(map(get, chunks)), np.uint32)
-            for text, chunks in zip(texts, cut, strict=True)
-        ]
+        return [self._ids(text) for text in texts]
 
 
 @lru_cache(maxsize=2)

@@ -188,6 +188,14 @@ def test_cut_texts_encode_like_whole_ones():
             assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_an_encoder_holds_the_chunks_of_one_text_beyond_its_bound():
+    encoder, tokenizer = CachedEncoder(BPE, max_chunks=10), Tokenizer.from_file(BPE)
+    texts = [f"alpha{i} beta{i} gamma{i}" for i in range(300)]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(encoder.known) <= 10 + 6
+
+
 @pytest.mark.parametrize("percentile", [0, 60, 95, 100])
 def test_blocks_round_trip_and_spans(percentile):
     rng = np.random.default_rng(3)
