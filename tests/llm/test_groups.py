@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from peernet.llm.groups import bucket_links, connected
+from peernet.llm.groups import bucket_links, connected, stars
 
 
 def roots_by_force(edges):
@@ -45,3 +45,37 @@ def test_a_bucket_whose_smallest_node_is_like_no_other(spark):
     bucket = lambda x, y: F.when(F.greatest(x, y) >= 0, F.lit(1).cast("long"))
     links = bucket_links(members, payloads, refused, bucket, lambda p: p.join(pairs, ["a", "b"]))
     assert {(r.a, r.b) for r in links.collect()} == linked | {(20, 21)}
+
+
+def test_others_that_connect_a_crowd_leave_its_bucket_few_pairs(spark):
+    # In each of ten buckets, 40 nodes that are all alike stand with a smaller one that is like none of them.
+    members = spark.range(4, 44).withColumnRenamed("id", "node").union(spark.range(1, 2))
+    members = members.crossJoin(spark.range(10).withColumnRenamed("id", "bucket"))
+    payloads = members.select("node", F.col("node").alias("payload")).distinct()
+    others = spark.createDataFrame([(4, n) for n in range(5, 44)], "a long, b long")
+    asked = []
+
+    def verify(pairs):
+        asked.append(pairs.count())
+        return pairs.where("a > 1")
+
+    alike = lambda x, y: F.least(x, y) > 0
+    links = bucket_links(members, payloads, alike, None, verify, others)
+    assert {(r.node, r.root) for r in connected(links).collect()} == {(n, 4) for n in range(5, 44)}
+    assert asked == [40 + 39, 0]
+
+
+def test_a_pair_meets_in_one_bucket_or_in_all(spark):
+    # 2 and 3 share buckets past the first ones of 2, 3 and 4 share their first ones; 1 is in all and like none.
+    buckets = {1: range(40), 2: range(20), 3: range(12, 40), 4: range(10, 40)}
+    members = spark.createDataFrame([(n, b) for n, own in buckets.items() for b in own], "node long, bucket long")
+    payloads = members.select("node", F.col("node").alias("payload")).distinct()
+    linked = spark.createDataFrame([(2, 3), (3, 4)], "a long, b long")
+    alike = lambda x, y: F.least(x, y) > 0
+    links = bucket_links(members, payloads, alike, None, lambda p: p.join(linked, ["a", "b"]))
+    assert sorted((r.a, r.b) for r in links.collect()) == [(2, 3), (3, 4)]
+
+
+def test_stars_hold_every_node_against_the_smallest_of_its_keys(spark):
+    keys = spark.createDataFrame([(5, 1), (7, 1), (7, 1), (9, 1), (7, 2), (9, 2), (3, 3), (5, 4), (9, 4)], "node long, key long")
+    assert sorted((r.a, r.b) for r in stars(keys).collect()) == [(5, 7), (5, 9), (7, 9)]
