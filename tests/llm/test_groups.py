@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from peernet.llm.groups import bucket_links, connected, stars
+from peernet.llm.groups import apart, bucket_links, connected, stars
 
 
 def roots_by_force(edges):
@@ -79,3 +79,19 @@ def test_a_pair_meets_in_one_bucket_or_in_all(spark):
 def test_stars_hold_every_node_against_the_smallest_of_its_keys(spark):
     keys = spark.createDataFrame([(5, 1), (7, 1), (7, 1), (9, 1), (7, 2), (9, 2), (3, 3), (5, 4), (9, 4)], "node long, key long")
     assert sorted((r.a, r.b) for r in stars(keys).collect()) == [(5, 7), (5, 9), (7, 9)]
+
+
+def test_later_pairs_are_verified_if_nothing_connects_them(spark):
+    members = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "node long, bucket long")
+    payloads = members.select("node", F.col("node").alias("payload"))
+    later = spark.createDataFrame([(1, 3), (2, 3), (3, 9), (9, 10)], "a long, b long")
+    asked = []
+
+    def verify(pairs):
+        asked.append({(r.a, r.b) for r in pairs.collect()})
+        return pairs.where("b < 10")
+
+    links = bucket_links(members, payloads, lambda x, y: F.lit(True), None, verify, None, later)
+    assert {(r.node, r.root) for r in connected(links).collect()} == {(2, 1), (3, 1), (9, 1)}
+    assert asked == [{(1, 2), (1, 3)}, {(3, 9), (9, 10)}]
+    assert apart(later, connected(links)).collect() == [(9, 10)]
